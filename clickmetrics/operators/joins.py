@@ -1,0 +1,20 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def salted_anti_join(left: DataFrame, right: DataFrame, on: list[str], salts: int = 16) -> DataFrame:
+    """Rows of ``left`` without a partner in ``right``, with each key spread over ``salts`` tasks.
+
+    For places without adaptive execution, such as inside ``foreachBatch``: rows are dealt out by
+    their position in the scan, so even exact copies spread, and every salt value gets its own copy
+    of the keys. ``left`` should be a plain scan, whose order is the same when a task is rerun.
+    """
+    dealt = left.withColumn("_salt", (F.monotonically_increasing_id() % salts).cast("int"))
+    keys = right.select(*on).distinct().withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    )
+    return dealt.join(keys, [*on, "_salt"], "left_anti").drop("_salt")
