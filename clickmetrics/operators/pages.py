@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 from clickmetrics.functions import rate_percent
 
-# Characters of action_time that make up one slice of a session: "yyyy-MM-dd HH".
-SLICE_CHARS = 13
+# A session with more rows than this is not sorted in one task.
+HOT_ROWS = 1_000_000
+# Upper bound of the broadcast list of such sessions.
+MAX_HOT = 100_000
+# Characters of action_time that make up one slice of such a session: "yyyy-MM-dd HH:mm".
+SLICE_CHARS = 16
 
 
 def _flow_pages(flow: str) -> list[int | None]:
@@ -37,26 +41,49 @@ def _kept(next_page: str, steps: list[tuple[int, int]]) -> Column:
     return F.expr(f"CASE WHEN (page_id, {next_page}) IN ({wanted}) THEN {next_page} END")
 
 
-def page_steps(actions: DataFrame, flow: str, slice_chars: int = SLICE_CHARS) -> DataFrame:
-    """(page_id, next_page, n) for the flow's source pages.
+def _split_hot(actions: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ordinary sessions and those of sessions with more than ``hot_rows`` rows.
 
-    ``next_page`` is the page that follows in the session, ordered by action_time and then
-    page_id, or NULL where that step is not part of the flow. Summed over ``next_page``, n is the
-    number of visits of the page, so one pass yields both sides of the rate.
+    The list of hot sessions holds at most ``MAX_HOT`` ids and is broadcast. Sessions beyond that
+    count as ordinary; each of them has less than 1 / MAX_HOT of all rows.
+    """
+    rows = actions.select("session_id", "action_time", "page_id")
+    hot = (
+        rows.groupBy(F.col("session_id").alias("hot_id"))
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") > hot_rows)
+        .orderBy(F.desc("n"))
+        .limit(MAX_HOT)
+        .select("hot_id")
+    )
+    same = F.col("session_id").eqNullSafe(F.col("hot_id"))
+    return rows.join(F.broadcast(hot), same, "left_anti"), rows.join(F.broadcast(hot), same, "left_semi")
+
+
+def _follow(rows: DataFrame) -> DataFrame:
+    """(page_id, following, copies) by one window per session."""
+    in_session = Window.partitionBy("session_id").orderBy("action_time", "page_id")
+    return rows.select(
+        "page_id", F.lead("page_id").over(in_session).alias("following"), F.lit(1).cast("bigint").alias("copies")
+    )
+
+
+def _follow_hot(rows: DataFrame, slice_chars: int) -> DataFrame:
+    """The same without ever holding a session in one task.
 
-    No session has to fit into one task. Equal (session, time, page) rows are first folded into
-    one with a count. The order is then taken inside slices of a session, a slice being one prefix
-    of the action_time text; a prefix never reorders texts. Only the first and last row of each
-    slice go on to a window over the whole session, which links neighbouring slices.
+    Equal (session, time, page) rows are first folded into one with a count. The order is then
+    taken inside slices of a session, a slice being one prefix of the action_time text; a prefix
+    never reorders texts. Only the first and last row of each slice go on to a window over the
+    whole session, which links neighbouring slices.
     """
-    steps = _flow_steps(flow)
-    rows = (
-        actions.groupBy("session_id", "action_time", "page_id")
+    folded = (
+        rows.groupBy("session_id", "action_time", "page_id")
         .agg(F.count("*").alias("copies"))
         .withColumn("slice", F.substring("action_time", 1, slice_chars))
     )
     in_slice = Window.partitionBy("session_id", "slice").orderBy("action_time", "page_id")
-    linked = rows.select(
+    in_session = Window.partitionBy("session_id").orderBy("action_time", "page_id")
+    linked = folded.select(
         "session_id",
         "action_time",
         "page_id",
@@ -65,12 +92,35 @@ def page_steps(actions: DataFrame, flow: str, slice_chars: int = SLICE_CHARS) ->
         (F.row_number().over(in_slice) == 1).alias("opens"),
         F.lead(F.lit(True)).over(in_slice).isNull().alias("closes"),
     )
+    inside = linked.where(~F.col("closes")).select("page_id", "following", "copies")
+    between = (
+        linked.where(F.col("opens") | F.col("closes"))
+        .withColumn("following", F.lead("page_id").over(in_session))
+        .where("closes")
+        .select("page_id", "following", "copies")
+    )
+    return inside.unionByName(between)
+
+
+def page_steps(
+    actions: DataFrame, flow: str, hot_rows: int = HOT_ROWS, slice_chars: int = SLICE_CHARS
+) -> DataFrame:
+    """(page_id, next_page, n) for the flow's source pages.
 
-    sources = F.col("page_id").isin(*{a for a, _ in steps})
-    inside = (
-        linked.where(sources)
+    ``next_page`` is the page that follows in the session, ordered by action_time and then
+    page_id, or NULL where that step is not part of the flow. Summed over ``next_page``, n is the
+    number of visits of the page, so one tally yields both sides of the rate.
+
+    Ordinary sessions take one shuffle by session id. Sessions with more than ``hot_rows`` rows are
+    cut into slices of ``slice_chars`` characters of action_time.
+    """
+    steps = _flow_steps(flow)
+    ordinary, hot = _split_hot(actions, hot_rows)
+    return (
+        _follow(ordinary).unionByName(_follow_hot(hot, slice_chars))
+        .where(F.col("page_id").isin(*{a for a, _ in steps}))
         .groupBy("page_id", _kept("following", steps).alias("next_page"))
-        .agg(F.count_if(~F.col("closes")).alias("moves"), F.sum(F.col("copies") - 1).alias("repeats"))
+        .agg(F.count("*").alias("moves"), F.sum(F.col("copies") - 1).alias("repeats"))
         .select(
             "page_id",
             F.inline(
@@ -80,37 +130,34 @@ def page_steps(actions: DataFrame, flow: str, slice_chars: int = SLICE_CHARS) ->
                 )
             ),
         )
+        .groupBy("page_id", "next_page")
+        .agg(F.sum("n").alias("n"))
     )
-    in_session = Window.partitionBy("session_id").orderBy("action_time", "page_id")
-    between = (
-        linked.where(F.col("opens") | F.col("closes"))
-        .select("page_id", "closes", F.lead("page_id").over(in_session).alias("following"))
-        .where(F.col("closes") & sources)
-        .groupBy("page_id", _kept("following", steps).alias("next_page"))
-        .agg(F.count("*").alias("n"))
-    )
-    return inside.unionByName(between).groupBy("page_id", "next_page").agg(F.sum("n").alias("n"))
 
 
 def _jump() -> Column:
     return F.concat_ws("->", F.col("page_id").cast("string"), F.col("next_page").cast("string"))
 
 
-def page_transitions(actions: DataFrame, flow: str, slice_chars: int = SLICE_CHARS) -> DataFrame:
+def page_transitions(
+    actions: DataFrame, flow: str, hot_rows: int = HOT_ROWS, slice_chars: int = SLICE_CHARS
+) -> DataFrame:
     """Steps of the flow that occur at least once."""
     return (
-        page_steps(actions, flow, slice_chars)
+        page_steps(actions, flow, hot_rows, slice_chars)
         .where(F.col("next_page").isNotNull() & (F.col("n") > 0))
         .select(_jump().alias("jump"), "n")
     )
 
 
-def page_conversion(actions: DataFrame, flow: str, slice_chars: int = SLICE_CHARS) -> DataFrame:
+def page_conversion(
+    actions: DataFrame, flow: str, hot_rows: int = HOT_ROWS, slice_chars: int = SLICE_CHARS
+) -> DataFrame:
     """Share of a source page's visits that go on to the next page of the flow."""
     of_page = Window.partitionBy("page_id")
     rate = F.col("n").cast("double") / F.col("visits")
     return (
-        page_steps(actions, flow, slice_chars)
+        page_steps(actions, flow, hot_rows, slice_chars)
         .withColumn("visits", F.sum("n").over(of_page))
         .where(F.col("next_page").isNotNull() & (F.col("n") > 0))
         .select(_jump().alias("jump"), "n", "visits", rate.alias("rate"), rate_percent(rate).alias("rate_text"))

@@ -29,7 +29,7 @@ class BatchTable:
         schema: str,
         keys: list[str] | None,
         fold_every: int = 50,
-        files: int = 8,
+        files: int | None = None,
         keep: Callable[[DataFrame], DataFrame] | None = None,
     ):
         self.path, self.schema, self.keys = path, schema, keys
@@ -84,7 +84,9 @@ class BatchTable:
         return -1
 
     def _save(self, rows: DataFrame, epoch: int, batch_id: int) -> None:
-        rows.select(*StructType.fromDDL(self.schema).names).repartition(self.files).write.mode("overwrite").parquet(
+        # Far fewer files than shuffle partitions, but growing with the cluster's setting.
+        files = self.files or max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 25)
+        rows.select(*StructType.fromDDL(self.schema).names).repartition(files).write.mode("overwrite").parquet(
             self._folder(epoch, batch_id)
         )
 
