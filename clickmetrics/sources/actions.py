@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmetrics.schemas import USER_VISIT_ACTION
+from clickmetrics.schemas import USER_VISIT_ACTION, column_names
 
 SEPARATOR = "_"
 
@@ -16,18 +16,14 @@ def parse_actions(lines: DataFrame, mode: str = "strict") -> DataFrame:
     ``strict`` fails the job on a short line or a bad number (this needs ANSI mode, Spark's
     default); ``permissive`` drops such lines.
     """
-    columns = [c.split() for c in USER_VISIT_ACTION.split(", ")]
-    parts = lines.select(F.split("value", SEPARATOR).alias("p"))
-    if mode == "strict":
-        return parts.select(
-            *[F.col("p")[i].cast(kind).alias(name) for i, (name, kind) in enumerate(columns)]
-        )
-    if mode != "permissive":
+    if mode not in ("strict", "permissive"):
         raise ValueError(f"unknown mode: {mode}")
-    typed = parts.select(
-        *[F.get("p", F.lit(i)).try_cast(kind).alias(name) for i, (name, kind) in enumerate(columns)]
+    item, cast = ("p[{}]", "cast") if mode == "strict" else ("get(p, {})", "try_cast")
+    columns = [c.split() for c in USER_VISIT_ACTION.split(", ")]
+    typed = lines.select(F.split("value", SEPARATOR).alias("p")).selectExpr(
+        *[f"{cast}({item.format(i)} AS {kind}) AS {name}" for i, (name, kind) in enumerate(columns)]
     )
-    return typed.dropna(subset=[name for name, _ in columns])
+    return typed if mode == "strict" else typed.dropna()
 
 
 def read_actions_text(spark: SparkSession, path: str, mode: str = "strict") -> DataFrame:
@@ -36,8 +32,8 @@ def read_actions_text(spark: SparkSession, path: str, mode: str = "strict") -> D
 
 def action_lines(actions: DataFrame) -> DataFrame:
     """The inverse of :func:`parse_actions`."""
-    fields: list[Column] = [F.col(c.split()[0]).cast("string") for c in USER_VISIT_ACTION.split(", ")]
-    return actions.select(F.concat_ws(SEPARATOR, *fields).alias("value"))
+    fields = ", ".join(column_names(USER_VISIT_ACTION))
+    return actions.selectExpr(f"concat_ws('{SEPARATOR}', {fields}) AS value")
 
 
 def write_actions_text(actions: DataFrame, path: str) -> None:

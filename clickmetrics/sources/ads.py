@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FIELDS = 5
-
 
 def parse_ads(lines: DataFrame, mode: str = "strict") -> DataFrame:
     """``ts_ms,area,city,user,ad`` lines -> the 8 ad-click columns; batch and stream alike.
@@ -16,22 +14,24 @@ def parse_ads(lines: DataFrame, mode: str = "strict") -> DataFrame:
     # An empty last field counts as missing, so commas at the end are cut first.
     parts = lines.select(F.split(F.rtrim("value", F.lit(",")), ",").alias("p"))
     if mode == "strict":
-        item = [F.col("p")[i] for i in range(FIELDS)]
-        raw = parts.select(item[0].cast("bigint").alias("ts"), *item[1:])
+        raw = parts.selectExpr(
+            "cast(p[0] AS bigint) AS ts", "p[1] AS area", "p[2] AS city", "p[3] AS userId", "p[4] AS adsId"
+        )
     elif mode == "permissive":
-        item = [F.get("p", F.lit(i)) for i in range(FIELDS)]
-        raw = parts.select(item[0].try_cast("bigint").alias("ts"), *item[1:])
+        raw = parts.selectExpr(
+            "try_cast(get(p, 0) AS bigint) AS ts",
+            "get(p, 1) AS area",
+            "get(p, 2) AS city",
+            "get(p, 3) AS userId",
+            "get(p, 4) AS adsId",
+        ).dropna()
     else:
         raise ValueError(f"unknown mode: {mode}")
-    raw = raw.toDF("ts", "area", "city", "userId", "adsId")
-    if mode == "permissive":
-        raw = raw.dropna()
-    time = F.timestamp_millis("ts")
-    return raw.select(
+    return raw.selectExpr(
         "ts",
-        time.alias("timestamp"),
-        F.date_format(time, "yyyy-MM-dd").alias("dayString"),
-        F.date_format(time, "HH:mm").alias("hmString"),
+        "timestamp_millis(ts) AS timestamp",
+        "date_format(timestamp_millis(ts), 'yyyy-MM-dd') AS dayString",
+        "date_format(timestamp_millis(ts), 'HH:mm') AS hmString",
         "area",
         "city",
         "userId",

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from clickmetrics.schemas import NO_CLICK, NO_IDS
 
@@ -14,68 +13,57 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _table(spark, sf_dir, "events").withColumn(
-        "k", F.get_json_object("props", "$.k").cast("bigint")
-    )
-    kind, k, item = F.col("event_type"), F.col("k"), F.col("event_id") % 200
-    click = kind == "click"
-    order = (kind == "purchase") | (click & (k % 10 == 0))
-    pay = kind == "signup"
-    day = F.date_format("ts", "yyyy-MM-dd")
+# Which events stand for an order and for a payment.
+_ORDER = "event_type = 'purchase' OR (event_type = 'click' AND k % 10 = 0)"
+_PAY = "event_type = 'signup'"
+
+
+def _ids(has: str, first: str, second: str) -> str:
+    return f"CASE WHEN {has} THEN concat_ws(',', {first}, {second}) ELSE '{NO_IDS}' END"
+
 
-    def ids(has: Column, a: Column, b: Column) -> Column:
-        return F.when(has, F.concat_ws(",", a.cast("string"), b.cast("string"))).otherwise(NO_IDS)
+def _if_click(value: str) -> str:
+    return f"CASE WHEN event_type = 'click' THEN {value} ELSE {NO_CLICK}L END"
 
-    return events.select(
-        day.alias("date"),
+
+def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events").selectExpr("*", "CAST(get_json_object(props, '$.k') AS bigint) AS k")
+    return events.selectExpr(
+        "date_format(ts, 'yyyy-MM-dd') AS date",
         "user_id",
-        F.concat_ws("-", F.col("user_id").cast("string"), day).alias("session_id"),
-        (k % 8 + 1).alias("page_id"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("action_time"),
-        F.lit("null").alias("search_keyword"),
-        F.when(click, k % 20).otherwise(NO_CLICK).cast("bigint").alias("click_category_id"),
-        F.when(click, item).otherwise(NO_CLICK).cast("bigint").alias("click_product_id"),
-        ids(order, k % 20, (k + 7) % 20).alias("order_category_ids"),
-        ids(order, item, (item + 7) % 200).alias("order_product_ids"),
-        ids(pay, k % 18, (k + 5) % 18).alias("pay_category_ids"),
-        ids(pay, item, (item + 5) % 200).alias("pay_product_ids"),
-        (F.col("user_id") % 25).alias("city_id"),
+        "concat_ws('-', user_id, date_format(ts, 'yyyy-MM-dd')) AS session_id",
+        "k % 8 + 1 AS page_id",
+        "date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS action_time",
+        "'null' AS search_keyword",
+        f"{_if_click('k % 20')} AS click_category_id",
+        f"{_if_click('event_id % 200')} AS click_product_id",
+        f"{_ids(_ORDER, 'k % 20', '(k + 7) % 20')} AS order_category_ids",
+        f"{_ids(_ORDER, 'event_id % 200', '(event_id + 7) % 200')} AS order_product_ids",
+        f"{_ids(_PAY, 'k % 18', '(k + 5) % 18')} AS pay_category_ids",
+        f"{_ids(_PAY, 'event_id % 200', '(event_id + 5) % 200')} AS pay_product_ids",
+        "user_id % 25 AS city_id",
     )
 
 
 def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name")
-    )
+    return _table(spark, sf_dir, "part").selectExpr("p_partkey AS product_id", "p_name AS product_name")
 
 
 def city_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = _table(spark, sf_dir, "nation"), _table(spark, sf_dir, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        F.col("n_nationkey").cast("bigint").alias("city_id"),
-        F.col("n_name").alias("city_name"),
-        F.col("r_name").alias("area"),
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).selectExpr(
+        "CAST(n_nationkey AS bigint) AS city_id", "n_name AS city_name", "r_name AS area"
     )
 
 
 def _lines(events: DataFrame, cities: DataFrame) -> DataFrame:
-    clicks = events.where(F.col("event_type").isin("click", "view")).select(
-        F.unix_millis(F.col("ts").cast("timestamp")).alias("ts"),
+    clicks = events.where("event_type IN ('click', 'view')").selectExpr(
+        "unix_millis(CAST(ts AS timestamp)) AS ts",
         "user_id",
-        (F.get_json_object("props", "$.k").cast("bigint") % 5 + 1).alias("ad"),
-        (F.col("user_id") % 25).alias("city_id"),
-    )
-    return clicks.join(cities, "city_id").select(
-        F.concat_ws(
-            ",",
-            F.col("ts").cast("string"),
-            "area",
-            "city_name",
-            F.col("user_id").cast("string"),
-            F.col("ad").cast("string"),
-        ).alias("value")
+        "CAST(get_json_object(props, '$.k') AS bigint) % 5 + 1 AS ad",
+        "user_id % 25 AS city_id",
     )
+    return clicks.join(cities, "city_id").selectExpr("concat_ws(',', ts, area, city_name, user_id, ad) AS value")
 
 
 def ads_log(spark: SparkSession, sf_dir: str) -> DataFrame:

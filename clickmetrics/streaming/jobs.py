@@ -101,6 +101,8 @@ def start_area_top3(
         spark = changes.sparkSession
         counts.write(changes, batch_id)
         changed = counts.batch(spark, batch_id)
+        if changed.isEmpty():
+            return
         touched = changed.select("dayString", "area").distinct()
         old = (
             tops.read(spark, batch_id - 1)
@@ -163,6 +165,8 @@ def start_last_hour(
     def on_batch(changes: DataFrame, batch_id: int) -> None:
         spark = changes.sparkSession
         panes.write(changes, batch_id)
+        if panes.batch(spark, batch_id).isEmpty():
+            return
         time = F.timestamp_millis("pane")
         recent = (
             in_hour(panes.read(spark, batch_id))
