@@ -42,12 +42,11 @@ def _start(
 # --- clicks per (day, area, ad) and the daily top 3 ------------------------------------------
 
 
+COUNTS = "dayString string, area string, adsId string, n bigint"
+
+
 def counts_table(folder: str) -> BatchTable:
-    return BatchTable(
-        f"{folder}/counts",
-        "dayString string, area string, adsId string, n bigint",
-        ["dayString", "area", "adsId"],
-    )
+    return BatchTable(f"{folder}/counts", COUNTS, ["dayString", "area", "adsId"])
 
 
 def top_table(folder: str) -> BatchTable:
@@ -89,18 +88,19 @@ def start_daily_area_counts(
 def start_area_top3(
     ads: DataFrame, folder: str, trigger: dict = EVERY_5_SECONDS, watermark: str | None = None, k: int = 3
 ) -> StreamingQuery:
-    """Keeps ``counts_table``, ``top_table`` and ``hash_table`` of the folder.
+    """Keeps ``top_table`` and ``hash_table`` of the folder.
 
     Totals only grow, so an ad outside the old top k enters the new one only if this batch changed
     its total. A batch therefore ranks its changed totals together with the old top k of the
-    (day, area) groups it touched, and never reads the full counts.
+    (day, area) groups it touched, and never reads all totals.
     """
-    counts, tops, hashes = counts_table(folder), top_table(folder), hash_table(folder)
+    changed_totals = BatchTable(f"{folder}/changed", COUNTS, None)
+    tops, hashes = top_table(folder), hash_table(folder)
 
     def on_batch(changes: DataFrame, batch_id: int) -> None:
         spark = changes.sparkSession
-        counts.write(changes, batch_id)
-        changed = counts.batch(spark, batch_id)
+        changed_totals.write(changes, batch_id)
+        changed = changed_totals.batch(spark, batch_id)
         if changed.isEmpty():
             return
         touched = changed.select("dayString", "area").distinct()
