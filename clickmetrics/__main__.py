@@ -67,7 +67,9 @@ def _parser() -> argparse.ArgumentParser:
         else:
             job.add_argument("--variant", choices=TOPS, default="strict")
             job.add_argument("--n", type=int, default=10)
-    jobs_.add_parser("area-top3").add_argument("--database", help="catalog database of the three tables")
+    report = jobs_.add_parser("area-top3")
+    report.add_argument("--database", help="catalog database of the three tables")
+    report.add_argument("--hive", action="store_true", help="use the configured Hive metastore")
 
     for name in STREAMS:
         job = jobs_.add_parser(name)
@@ -85,7 +87,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
-    spark = build_session(f"clickmetrics-{args.job}")
+    spark = build_session(f"clickmetrics-{args.job}", hive=getattr(args, "hive", False))
     if args.job in STREAMS:
         options = {"min_clicks": args.min_clicks} if "min_clicks" in args else {}
         if args.once:

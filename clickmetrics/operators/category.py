@@ -51,11 +51,12 @@ def pay_counts(actions: DataFrame) -> DataFrame:
 
 def first_actions(actions: DataFrame) -> DataFrame:
     """(categoryId, action) rows; a row counts only as the first it has of click, order, pay."""
-    return actions.where(_is_click() | _has("order_category_ids") | _has("pay_category_ids")).select(
+    # A row without any action has a NULL list here, which explode drops.
+    return actions.select(
         F.explode(
             F.when(_is_click(), F.array(F.col("click_category_id").cast("string")))
             .when(_has("order_category_ids"), id_list(F.col("order_category_ids")))
-            .otherwise(id_list(F.col("pay_category_ids")))
+            .when(_has("pay_category_ids"), id_list(F.col("pay_category_ids")))
         ).alias("categoryId"),
         F.when(_is_click(), CLICK)
         .when(_has("order_category_ids"), ORDER)

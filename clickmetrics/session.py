@@ -18,8 +18,11 @@ DEFAULTS = {
 }
 
 
-def build_session(app_name: str, **conf: str) -> SparkSession:
+def build_session(app_name: str, hive: bool = False, **conf: str) -> SparkSession:
+    """A session with the defaults above; ``hive`` connects it to the configured metastore."""
     builder = SparkSession.builder.appName(app_name)
+    if hive:
+        builder = builder.enableHiveSupport()
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

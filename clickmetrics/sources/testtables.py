@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickmetrics.schemas import NO_CLICK, NO_IDS
 
@@ -63,7 +64,8 @@ def _lines(events: DataFrame, cities: DataFrame) -> DataFrame:
         "CAST(get_json_object(props, '$.k') AS bigint) % 5 + 1 AS ad",
         "user_id % 25 AS city_id",
     )
-    return clicks.join(cities, "city_id").selectExpr("concat_ws(',', ts, area, city_name, user_id, ad) AS value")
+    # The city table has 25 rows at every scale.
+    return clicks.join(F.broadcast(cities), "city_id").selectExpr("concat_ws(',', ts, area, city_name, user_id, ad) AS value")
 
 
 def ads_log(spark: SparkSession, sf_dir: str) -> DataFrame:
