@@ -52,7 +52,7 @@ def _split_hot(actions: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]
         rows.groupBy(F.col("session_id").alias("hot_id"))
         .agg(F.count("*").alias("n"))
         .where(F.col("n") > hot_rows)
-        .orderBy(F.desc("n"))
+        .orderBy(F.desc("n"), "hot_id")
         .limit(MAX_HOT)
         .select("hot_id")
     )

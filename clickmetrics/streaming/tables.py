@@ -42,7 +42,7 @@ class BatchTable:
         if epoch and not _exists(spark, f"{self._folder(epoch, carried)}/_SUCCESS"):
             if self.keys:
                 rows = self.read(spark, carried)
-                self._save(self.keep(rows) if self.keep else rows, epoch, carried)
+                self._save_folded(self.keep(rows) if self.keep else rows, epoch, carried)
             for old in self._epochs(spark):
                 if old < epoch - 1:
                     _delete(spark, f"{self.path}/epoch={old}")
@@ -84,11 +84,15 @@ class BatchTable:
         return -1
 
     def _save(self, rows: DataFrame, epoch: int, batch_id: int) -> None:
+        rows = rows.select(*StructType.fromDDL(self.schema).names)
         # Far fewer files than shuffle partitions, but growing with the cluster's setting.
         files = self.files or max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 25)
-        rows.select(*StructType.fromDDL(self.schema).names).repartition(files).write.mode("overwrite").parquet(
-            self._folder(epoch, batch_id)
-        )
+        _write(rows.repartition(files, *rows.columns), self._folder(epoch, batch_id))
+
+    def _save_folded(self, rows: DataFrame, epoch: int, batch_id: int) -> None:
+        # Clustered by key, so a filter on the first key skips files.
+        clustered = rows.repartitionByRange(*self.keys).sortWithinPartitions(*self.keys)
+        _write(clustered, self._folder(epoch, batch_id))
 
     def _folder(self, epoch: int, batch_id: int) -> str:
         return f"{self.path}/epoch={epoch}/{BATCH}={batch_id}"
@@ -97,6 +101,10 @@ class BatchTable:
         return _numbers(spark, self.path, "epoch")
 
 
+def _write(rows: DataFrame, folder: str) -> None:
+    rows.write.mode("overwrite").parquet(folder)
+
+
 def _file_system(spark: SparkSession, path: str):
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     return location.getFileSystem(spark._jsc.hadoopConfiguration()), location
