@@ -15,10 +15,16 @@ MAX_HOT = 100_000
 SLICE_CHARS = 16
 
 
+def _page_id(entry: str) -> int | None:
+    """The page id an entry of a flow names, or None where no page id is written like that."""
+    if not entry.removeprefix("-").isdecimal():
+        return None
+    page = int(entry)
+    return page if str(page) == entry and -(2**63) <= page < 2**63 else None
+
+
 def _flow_pages(flow: str) -> list[int | None]:
-    """Page ids of a flow such as ``1,2,3``; an entry no page id can equal becomes None."""
-    entries = flow.split(",")
-    return [int(e) if e.lstrip("-").isdigit() and str(int(e)) == e else None for e in entries]
+    return [_page_id(entry) for entry in flow.split(",")]
 
 
 def page_visits(actions: DataFrame, flow: str) -> DataFrame:

@@ -8,18 +8,22 @@ from clickmetrics.functions import register_sql_functions
 
 # Each statement becomes a view that the next ones build on; all of it stays one lazy plan.
 VIEWS = {
-    "t1": """
-        SELECT ci.*, pi.product_name, uvc.click_category_id
-        FROM user_visit_action uvc
-        JOIN product_info pi ON uvc.click_product_id = pi.product_id
-        JOIN city_info ci ON uvc.city_id = ci.city_id""",
+    # One row per product and city, however many clicks a product has.
+    "counted_clicks": """
+        SELECT click_product_id, city_id, count(*) AS clicks
+        FROM user_visit_action
+        GROUP BY click_product_id, city_id""",
     "city_clicks": """
-        SELECT area, product_name, city_name, count(*) AS n,
-               row_number() OVER (PARTITION BY area, product_name
-                                  ORDER BY city_name IS NULL, count(*) DESC, city_name) AS place
-        FROM t1
+        SELECT area, product_name, city_name, sum(clicks) AS n
+        FROM counted_clicks
+        JOIN product_info ON click_product_id = product_id
+        JOIN city_info USING (city_id)
         GROUP BY area, product_name, city_name""",
-    "t2": """
+    "placed_cities": """
+        SELECT *, row_number() OVER (PARTITION BY area, product_name
+                                     ORDER BY city_name IS NULL, n DESC, city_name) AS place
+        FROM city_clicks""",
+    "area_products": """
         SELECT area, product_name, sum(n) AS click_count,
                city_remark(max(city_name) FILTER (WHERE place = 1),
                            max(n) FILTER (WHERE place = 1 AND city_name IS NOT NULL),
@@ -27,14 +31,14 @@ VIEWS = {
                            max(n) FILTER (WHERE place = 2 AND city_name IS NOT NULL),
                            sum(n) FILTER (WHERE city_name IS NOT NULL),
                            count(city_name)) AS city_remark
-        FROM city_clicks
+        FROM placed_cities
         GROUP BY area, product_name""",
-    "t3": """
-        SELECT t2.*, rank() OVER (PARTITION BY area ORDER BY click_count DESC) AS rank
-        FROM t2""",
+    "ranked_products": """
+        SELECT *, rank() OVER (PARTITION BY area ORDER BY click_count DESC) AS place
+        FROM area_products""",
 }
 
-REPORT = "SELECT area, product_name, click_count, city_remark FROM t3 WHERE rank <= 3"
+REPORT = "SELECT area, product_name, click_count, city_remark FROM ranked_products WHERE place <= 3"
 
 
 def register_views(spark: SparkSession, **tables: DataFrame) -> None:

@@ -43,7 +43,9 @@ def test_flow_entries_that_are_no_page_ids(spark):
     df = visits(spark, ("s", "t1", 1), ("s", "t2", 2))
     assert found(pages.page_transitions(df, "01,2")) == []
     assert found(pages.page_visits(df, "01,x,2")) == [(2, 1)]
-    assert found(pages.page_transitions(df, "1")) == []
+    for flow in ("1", "", "x,y", "²,1", "1, 2", "1,99999999999999999999"):
+        assert found(pages.page_transitions(df, flow)) == []
+    assert found(pages.page_visits(df, "x")) == []
 
 
 def test_repeated_step_in_the_flow_counts_once(spark):
