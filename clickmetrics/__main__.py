@@ -46,9 +46,10 @@ def _batch(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 def _clicks(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.kafka:
-        lines = stream_ads_kafka(spark, args.kafka, args.topic, args.starting_offsets)
+        limit = {"maxOffsetsPerTrigger": str(args.per_batch)} if args.per_batch else {}
+        lines = stream_ads_kafka(spark, args.kafka, args.topic, args.starting_offsets, **limit)
     else:
-        lines = stream_ads_files(spark, args.files)
+        lines = stream_ads_files(spark, args.files, args.per_batch)
     return parse_ads(lines, args.mode)
 
 
@@ -78,6 +79,7 @@ def _parser() -> argparse.ArgumentParser:
         source.add_argument("--kafka", help="bootstrap servers")
         job.add_argument("--topic", default="ads_log")
         job.add_argument("--starting-offsets", default="latest")
+        job.add_argument("--per-batch", type=int, help="most files or Kafka records per batch")
         job.add_argument("--folder", required=True, help="shared folder for checkpoint and result tables")
         job.add_argument("--once", action="store_true", help="work through what is there, then stop")
         if name.startswith("ads-blacklist"):

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickmetrics.operators import ads as A
-from clickmetrics.operators.joins import salted_anti_join
 from clickmetrics.schemas import ADS_INFO, KEY_VALUE
 from clickmetrics.streaming.tables import BatchTable
 
@@ -237,7 +236,8 @@ def start_blacklist_loop(
     """The blacklist with its feedback: clicks of users listed by earlier batches are dropped.
 
     The clicks that pass are appended to ``<folder>/passed`` (see ``read_passed``) and only they
-    are counted. All state lies in tables written per batch id, so a replayed batch sees the same
+    are counted. The stream itself is stateless, so each batch runs with adaptive execution, which
+    splits the rows of an over-active user in the anti join. All state lies in tables written per batch id, so a replayed batch sees the same
     blacklist again and does not count twice.
     """
     blacklist, counts = blacklist_table(folder), user_counts_table(folder)
@@ -252,7 +252,7 @@ def start_blacklist_loop(
             of_batch = F.col("dayString").between(F.lit(first), F.lit(last))
             listed = blacklist.read(spark, batch_id - 1).where(of_batch)
             target = f"{folder}/passed/batch_id={batch_id}"
-            salted_anti_join(clicks, listed, A.USER_DAY).write.mode("overwrite").parquet(target)
+            A.drop_blacklisted(clicks, listed).write.mode("overwrite").parquet(target)
         finally:
             clicks.unpersist()
         passed = spark.read.schema(ADS_INFO).parquet(target)

@@ -1,7 +1,4 @@
-import pytest
-
 from clickmetrics.operators import ads as A
-from clickmetrics.operators.joins import salted_anti_join
 from clickmetrics.sources.ads import parse_ads
 from tests.rows import found, lines, millis
 
@@ -56,17 +53,3 @@ def test_blacklist_is_per_day(spark):
     kept = found(A.drop_blacklisted(df, listed).select("dayString", "userId", "adsId"))
     assert kept == [("2024-01-01", "8", "1"), ("2024-01-01", "8", "2"), ("2024-01-02", "7", "1")]
     assert A.build_blacklist(df).count() == 3
-
-
-@pytest.mark.parametrize("broadcast_limit", ["10MB", "-1"])
-def test_salted_anti_join(spark, broadcast_limit):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast_limit)
-    left = spark.range(0, 1000, 1, 8).selectExpr("id % 7 AS k", "id AS v").unionAll(
-        spark.range(500).selectExpr("3L AS k", "0L AS v")
-    )
-    right = spark.createDataFrame([(3,), (3,), (5,)], "k bigint")
-    try:
-        assert found(salted_anti_join(left, right, ["k"])) == found(left.join(right, "k", "left_anti"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -1,7 +1,9 @@
 from clickmetrics.__main__ import main
 from clickmetrics.operators import pages
+from clickmetrics.operators.ads import build_blacklist
 from clickmetrics.sources import actions as SA
 from clickmetrics.sources import testtables
+from clickmetrics.sources.ads import read_ads_text
 from clickmetrics.streaming import jobs
 from tests.rows import found
 
@@ -29,5 +31,6 @@ def test_area_report_from_views(spark, capsys):
 def test_stream_job(spark, tmp_path):
     inbox, folder = str(tmp_path / "in"), str(tmp_path / "job")
     testtables.ads_log(spark, SF_DIR).write.text(inbox)
-    main(["ads-blacklist", "--files", inbox, "--folder", folder, "--once", "--min-clicks", "2"])
-    assert jobs.blacklist_table(folder).read(spark).count() > 0
+    main(["ads-blacklist", "--files", inbox, "--folder", folder, "--once", "--min-clicks", "2", "--per-batch", "1"])
+    expected = build_blacklist(read_ads_text(spark, inbox), 2)
+    assert found(jobs.blacklist_table(folder).read(spark)) == found(expected)

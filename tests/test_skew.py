@@ -50,14 +50,35 @@ def test_hot_product_is_split(spark, tiny_partitions):
     assert counts.agg({"click_count": "sum"}).first()[0] == 60_000
 
 
-def test_hot_user_is_split(spark, tiny_partitions):
+def hot_user_clicks(ids):
+    """Clicks of which every third belongs to one user."""
     texts = ["'N' AS area", "'c' AS city", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE string(id % 997) END AS userId"]
-    ads = spark.range(0, 60_000, 1, 16).selectExpr(
+    ads = ids.selectExpr(
         "id AS ts", "timestamp_millis(id) AS timestamp", "'1970-01-01' AS dayString", "'00:00' AS hmString",
         *texts, "string(id % 5) AS adsId",
     )
-    ads = ads.select(*column_names(ADS_INFO))
-    listed = spark.createDataFrame([("1970-01-01", str(u)) for u in range(500)], "dayString string, userId string")
-    kept = A.drop_blacklisted(ads, listed)
+    return ads.select(*column_names(ADS_INFO))
+
+
+def some_users(spark):
+    return spark.createDataFrame([("1970-01-01", str(u)) for u in range(500)], "dayString string, userId string")
+
+
+def test_hot_user_is_split(spark, tiny_partitions):
+    kept = A.drop_blacklisted(hot_user_clicks(spark.range(0, 60_000, 1, 16)), some_users(spark))
     assert "skew=true" in final_plan(kept)
     assert kept.where("userId = 'hot'").count() == 20_000
+
+
+def test_hot_user_is_split_inside_a_stream(spark, tiny_partitions, tmp_path):
+    source = str(tmp_path / "in")
+    spark.range(0, 60_000, 1, 16).write.parquet(source)
+    plans = []
+
+    def on_batch(clicks, _):
+        plans.append(final_plan(A.drop_blacklisted(clicks, some_users(clicks.sparkSession))))
+
+    clicks = hot_user_clicks(spark.readStream.schema("id bigint").parquet(source))
+    query = clicks.writeStream.foreachBatch(on_batch).option("checkpointLocation", str(tmp_path / "c"))
+    query.trigger(availableNow=True).start().awaitTermination()
+    assert len(plans) == 1 and "skew=true" in plans[0]
