@@ -9,7 +9,7 @@ from clickmetrics.functions import rate_percent
 
 # A session with more rows than this is not sorted in one task.
 HOT_ROWS = 1_000_000
-# Upper bound of the broadcast list of such sessions.
+# Upper bound of the broadcast list of such sessions: 8 bytes each.
 MAX_HOT = 100_000
 # Characters of action_time that make up one slice of such a session: "yyyy-MM-dd HH:mm".
 SLICE_CHARS = 16
@@ -50,20 +50,22 @@ def _kept(next_page: str, steps: list[tuple[int, int]]) -> Column:
 def _split_hot(actions: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
     """The rows of ordinary sessions and those of sessions with more than ``hot_rows`` rows.
 
-    The list of hot sessions holds at most ``MAX_HOT`` ids and is broadcast. Sessions beyond that
-    count as ordinary; each of them has less than 1 / MAX_HOT of all rows.
+    Sessions are counted by a hash of their id, which keeps the counting pass narrow; sessions that
+    share a hash are hot together, which the hot path can take. The list holds at most ``MAX_HOT``
+    hashes and is broadcast. Sessions beyond it count as ordinary; each of them has less than
+    1 / MAX_HOT of all rows.
     """
     rows = actions.select("session_id", "action_time", "page_id")
     hot = (
-        rows.groupBy(F.col("session_id").alias("hot_id"))
+        rows.groupBy(F.xxhash64("session_id").alias("hot"))
         .agg(F.count("*").alias("n"))
         .where(F.col("n") > hot_rows)
-        .orderBy(F.desc("n"), "hot_id")
+        .orderBy(F.desc("n"), "hot")
         .limit(MAX_HOT)
-        .select("hot_id")
+        .select("hot")
     )
-    same = F.col("session_id").eqNullSafe(F.col("hot_id"))
-    return rows.join(F.broadcast(hot), same, "left_anti"), rows.join(F.broadcast(hot), same, "left_semi")
+    is_hot = F.xxhash64("session_id") == F.col("hot")
+    return rows.join(F.broadcast(hot), is_hot, "left_anti"), rows.join(F.broadcast(hot), is_hot, "left_semi")
 
 
 def _follow(rows: DataFrame) -> DataFrame:
