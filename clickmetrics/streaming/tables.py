@@ -18,9 +18,9 @@ class BatchTable:
 
     Each micro-batch writes only its own changes, into ``<path>/epoch=E/batch_id=N``. Writing a
     batch again replaces its folder, so a batch replayed after a failure leaves no trace. The
-    first batch of an epoch also writes the folded table as of the batch before it; a read
+    first write of an epoch also stores the folded table as it was before the epoch; a read
     therefore touches at most ``fold_every`` batches, and epochs older than the previous one are
-    removed.
+    removed. Batches may be left out.
     """
 
     def __init__(
@@ -38,14 +38,13 @@ class BatchTable:
     def write(self, changes: DataFrame, batch_id: int) -> None:
         spark = changes.sparkSession
         epoch = batch_id // self.fold_every
-        carried = epoch * self.fold_every - 1
-        if epoch and not _exists(spark, f"{self._folder(epoch, carried)}/_SUCCESS"):
-            if self.keys:
-                rows = self.read(spark, carried)
-                self._save_folded(self.keep(rows) if self.keep else rows, epoch, carried)
-            for old in self._epochs(spark):
-                if old < epoch - 1:
-                    _delete(spark, f"{self.path}/epoch={old}")
+        ready = self._epochs(spark)
+        if self.keys and epoch and epoch not in ready:
+            rows = self.read(spark, batch_id - 1)
+            self._save_folded(self.keep(rows) if self.keep else rows, epoch)
+        # The epoch before this one stays: a replay of its successor's first batch reads it.
+        for old in sorted(e for e in ready if e < epoch)[:-1]:
+            _delete(spark, f"{self.path}/epoch={old}")
         self._save(changes, epoch, batch_id)
 
     def read(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
@@ -89,16 +88,23 @@ class BatchTable:
         files = self.files or max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 25)
         _write(rows.repartition(files, *rows.columns), self._folder(epoch, batch_id))
 
-    def _save_folded(self, rows: DataFrame, epoch: int, batch_id: int) -> None:
+    def _save_folded(self, rows: DataFrame, epoch: int) -> None:
         # Clustered by key, so a filter on the first key skips files.
         clustered = rows.repartitionByRange(*self.keys).sortWithinPartitions(*self.keys)
-        _write(clustered, self._folder(epoch, batch_id))
+        _write(clustered, self._start_of(epoch))
+
+    def _start_of(self, epoch: int) -> str:
+        return self._folder(epoch, epoch * self.fold_every - 1)
 
     def _folder(self, epoch: int, batch_id: int) -> str:
         return f"{self.path}/epoch={epoch}/{BATCH}={batch_id}"
 
     def _epochs(self, spark: SparkSession) -> list[int]:
-        return _numbers(spark, self.path, "epoch")
+        """Epochs that can be read: the folded table they start with is complete."""
+        found = _numbers(spark, self.path, "epoch")
+        if not self.keys:
+            return found
+        return [e for e in found if e == 0 or _exists(spark, f"{self._start_of(e)}/_SUCCESS")]
 
 
 def _write(rows: DataFrame, folder: str) -> None:

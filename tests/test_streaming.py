@@ -181,6 +181,27 @@ def test_batch_table_folds_and_replays(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["epoch=2", "epoch=3"]
 
 
+def test_batch_table_with_batches_left_out(spark, tmp_path):
+    table = BatchTable(str(tmp_path / "t"), COUNTS, ["k"], fold_every=2)
+    for batch in (3, 4, 11, 20):
+        before = found(table.read(spark, batch - 1))
+        for _ in range(2):  # the second time is a replay
+            assert found(table.read(spark, batch - 1)) == before
+            table.write(spark.createDataFrame([(f"k{batch}", batch)], COUNTS), batch)
+        assert len(found(table.read(spark))) == len(before) + 1
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["epoch=10", "epoch=5"]
+
+
+def test_batch_table_ignores_an_unfinished_fold(spark, tmp_path):
+    table = BatchTable(str(tmp_path / "t"), COUNTS, ["k"], fold_every=2)
+    for batch in range(2):
+        table.write(spark.createDataFrame([(f"k{batch}", batch)], COUNTS), batch)
+    (tmp_path / "t" / "epoch=2" / "batch_id=3").mkdir(parents=True)
+    assert found(table.read(spark, 4)) == [("k0", 0), ("k1", 1)]
+    table.write(spark.createDataFrame([("k5", 5)], COUNTS), 5)
+    assert found(table.read(spark)) == [("k0", 0), ("k1", 1), ("k5", 5)]
+
+
 def test_batch_table_without_keys_is_the_last_batch(spark, tmp_path):
     table = BatchTable(str(tmp_path / "t"), COUNTS, None, fold_every=2)
     for batch in range(5):
