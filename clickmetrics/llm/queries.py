@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickmetrics.llm import sentence_pieces, token_counts, token_files
+from clickmetrics.llm import decontaminate, exact_topk, secret_scan, sentence_pieces, sharding, token_counts, token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,22 @@ def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.search_all(table(spark, sf_dir, "embeddings"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.through_files(table(spark, sf_dir, "documents"))
 
@@ -27,6 +43,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentence_pieces, op9_token_files, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_sentence_pieces, op3_decontaminate, op5_secret_scan, op7_sharding, op8_exact_topk, op9_token_files, op10_token_counts)}
 
 ORACLES: dict[str, str] = {}
