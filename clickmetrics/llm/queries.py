@@ -6,7 +6,16 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from clickmetrics.llm import decontaminate, exact_topk, secret_scan, sentence_pieces, sharding, token_counts, token_files
+from clickmetrics.llm import (
+    decontaminate,
+    exact_topk,
+    secret_scan,
+    sentence_pieces,
+    sharding,
+    token_counts,
+    token_files,
+    toxicity,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +36,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -43,6 +56,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentence_pieces, op3_decontaminate, op5_secret_scan, op7_sharding, op8_exact_topk, op9_token_files, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_sentence_pieces, op3_decontaminate, op5_secret_scan, op6_toxicity, op7_sharding, op8_exact_topk, op9_token_files, op10_token_counts)}
 
 ORACLES: dict[str, str] = {}
