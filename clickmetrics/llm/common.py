@@ -69,7 +69,7 @@ _powers = np.ones(1, np.uint64)
 _inverses = np.ones(1, np.uint64)
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash's multiplier and of its inverse modulo 2**64."""
     global _powers, _inverses
     if len(_powers) < n:
@@ -108,7 +108,7 @@ def words_of(raw: np.ndarray, classes: np.ndarray, offsets: np.ndarray, slab: in
             change[cuts] |= inside[cuts - 1]
             change[-1] = inside[-1]
             ends = np.flatnonzero(change)
-            powers, inverses = _power_tables(hi - lo + 1)
+            powers, inverses = power_tables(hi - lo + 1)
             total = np.zeros(hi - lo + 1, np.uint64)
             np.cumsum(value.astype(np.uint64) * powers[:-1], out=total[1:])
             hashes = mix64((total[ends] - total[starts]) * inverses[starts] + (ends - starts).astype(np.uint64))

@@ -9,8 +9,9 @@ are similar enough share an n-gram of their prefixes, which are short by that or
 Classes meet in the groups of one prefix n-gram. The first round only pairs each member with the
 group's pivot, linear in the group; most near copies are joined there. The second round pairs what
 is left: members of one group that are still in different components and pass the length filter;
-the positional filter drops a pair by the first n-gram it shares. Every pair is verified once, with
-the suffix filter before the full intersection. No link between components is lost: whatever shares
+the positional filter drops a pair by the first n-gram it shares, parity bits of the whole sets drop
+most that differ too much behind it. Every pair is verified once, with the suffix filter before the
+full intersection. No link between components is lost: whatever shares
 a prefix n-gram is either joined already or tested.
 
 Sets are known by 64-bit keys; among n different sets two share a key with chance n * n / 2**65.
@@ -38,6 +39,7 @@ CLASSES[[0x20, *range(0x09, 0x0E)]] = 0
 CELL_BITS = 20
 SLICES = 64
 GROUP_MEMBERS = 512
+PARITY = 512
 
 
 def shingle_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -178,30 +180,48 @@ def _pivots(percent: int):
     return work
 
 
+def parity_bits(grams: np.ndarray) -> bytes:
+    """PARITY bits of a set; sets differ in at least as many n-grams as their bits differ."""
+    odd = np.bincount((grams & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def _left(percent: int):
-    def work(token, node, n, pos, pivot, comp) -> Iterator[pa.RecordBatch]:
+    names = "a b"
+
+    def work(token, node, n, pos, pivot, comp, bits) -> Iterator[pa.RecordBatch]:
         starts, ends = _groups(token)
-        mixed = np.minimum.reduceat(comp, starts) != np.maximum.reduceat(comp, starts)
+        words = np.frombuffer(b"".join(bits), "<u8").reshape(len(bits), -1)
         out: list[tuple] = []
         held = 0
-        for a, b in zip(starts[mixed].tolist(), ends[mixed].tolist()):
+        for a, b in zip(starts.tolist(), ends.tolist()):
             for i in range(a, b - 1):
                 stop = a + int(np.searchsorted(n[a:b], 100 * n[i] // percent, side="right"))
                 j = np.arange(i + 1, stop)
                 # Those paired with their pivot were tested in the first round.
                 j = j[(comp[j] != comp[i]) & (pivot[j] != node[i]) & (pivot[i] != node[j])]
+                need = least_overlap(n[i], n[j], percent)
+                # If this is the first n-gram they share, no more than what follows it is shared; if it is
+                # not, the pair came up at the first one, with more behind it.
+                j, need = _keep(j, need, np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need)
+                differ = np.bitwise_count(words[j] ^ words[i]).sum(axis=1, dtype=np.int64)
+                j, need = _keep(j, need, n[i] + n[j] - differ >= 2 * need)
                 if len(j):
-                    out.append((np.full(len(j), node[i]), node[j], np.full(len(j), n[i]), n[j], np.full(len(j), pos[i]), pos[j]))
+                    out.append((np.full(len(j), node[i]), node[j]))
                     held += len(j)
                 if held > 1 << 18:
-                    yield _batch("a b an bn ap bp", *[np.concatenate(c) for c in zip(*out)])
+                    yield _batch(names, *[np.concatenate(c) for c in zip(*out)])
                     out, held = [], 0
         if out:
-            yield _batch("a b an bn ap bp", *[np.concatenate(c) for c in zip(*out)])
+            yield _batch(names, *[np.concatenate(c) for c in zip(*out)])
 
     return work
 
 
+def _keep(j: np.ndarray, need: np.ndarray, yes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return j[yes], need[yes]
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
     """(a, b) of the pairs that link. ``pairs`` (a, b) is distinct; texts go to b, cut into small groups."""
     spark = pairs.sparkSession
@@ -253,19 +273,21 @@ def link_documents(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     frequency = spark.sparkContext.broadcast(gram_frequencies(docs, n))
 
     def describe(batch: pa.RecordBatch) -> list:
-        sizes, keys, prefixes = [], [], []
+        sizes, keys, prefixes, bits = [], [], [], []
         for grams in shingle_sets(batch.column(1), n):
             sizes.append(len(grams))
             keys.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None)
             cells = frequency.value[_cell(grams)]
             length = _prefix_length(len(grams), percent) if len(grams) else 0
+            bits.append(parity_bits(grams))
             prefixes.append(grams[np.lexsort((grams, cells))[:length]].astype(np.int64).tobytes())
-        return [batch.column(0), batch.column(2), pa.array(sizes, pa.int32()), pa.array(keys, pa.binary()), pa.array(prefixes, pa.binary())]
+        blobs = [pa.array(c, pa.binary()) for c in (keys, prefixes, bits)]
+        return [batch.column(0), batch.column(2), pa.array(sizes, pa.int32()), *blobs]
 
     described = map_batches(
         docs.select("doc_id", "text", F.xxhash64("text").alias("text_key")),
         describe,
-        "doc_id bigint, text_key bigint, n int, key binary, prefix binary",
+        "doc_id bigint, text_key bigint, n int, key binary, prefix binary, bits binary",
     )
     described = keep_files(spark, described, "sets")
     classes = (
@@ -276,6 +298,7 @@ def link_documents(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
             F.min("doc_id").alias("least"),
             F.first("n").alias("n"),
             F.first("prefix").alias("prefix"),
+            F.first("bits").alias("bits"),
         )
         .withColumn("node", F.expr("CAST(conv(substring(hex(key), 1, 15), 16, 10) AS bigint)"))
     )
@@ -310,11 +333,11 @@ def link_documents(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     placed = members.join(labels, "node", "left").select(
         "token", "node", "n", "pos", "pivot", F.coalesce("label", "node").alias("comp")
     )
-    rest = _by_token(placed, _left(percent), "a bigint, b bigint, an int, bn int, ap int, bp int")
-    rest = rest.groupBy("a", "b").agg(
-        F.min("ap").alias("ap"), F.min("bp").alias("bp"), F.first("an").alias("an"), F.first("bn").alias("bn")
-    )
-    rest = keep_files(spark, _positional(rest, percent), "rest")
+    # Groups whose members are all in one component are done.
+    mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    placed = placed.join(mixed, "token", "left_semi").join(classes.select("node", "bits"), "node")
+    placed = placed.select("token", "node", "n", "pos", "pivot", "comp", "bits")
+    rest = keep_files(spark, _by_token(placed, _left(percent), "a bigint, b bigint").distinct(), "rest")
     if rest.limit(1).count():
         labels = components(links.unionByName(_verified(rest, texts, nodes, n, percent)))
     own = classes.join(labels, "node", "left").select("key", "least", F.coalesce("label", "node").alias("label"))

@@ -13,6 +13,7 @@ from clickmetrics.llm import (
     secret_scan,
     sentence_pieces,
     sharding,
+    suffix_dedup,
     token_counts,
     token_files,
     toxicity,
@@ -29,6 +30,10 @@ def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -61,6 +66,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentence_pieces, op3_decontaminate, op4_ngram_join, op5_secret_scan, op6_toxicity, op7_sharding, op8_exact_topk, op9_token_files, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_sentence_pieces, op2_suffix_dedup, op3_decontaminate, op4_ngram_join, op5_secret_scan, op6_toxicity, op7_sharding, op8_exact_topk, op9_token_files, op10_token_counts)}
 
 ORACLES: dict[str, str] = {}
