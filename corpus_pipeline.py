@@ -1,27 +1,68 @@
-"""The corpus pipeline: documents through the stages, each written before the next reads it."""
+"""The corpus pipeline: documents through five stages, each written before the next reads it.
+
+toxicity        drops documents predicted toxic
+ngram_join      keeps, of each group of near copies (five words, 0.8), the row of the smallest doc_id
+decontaminate   drops documents that hold a benchmark passage
+secrets         replaces secrets in the text; n_chars follows
+pieces          encodes and decodes what is left
+
+All but the last return the columns they were given. Rows that agree in doc_id and text count as
+one document. A null text is an empty one and stays until the last stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from clickmetrics.llm import sentence_pieces
+from clickmetrics.llm import decontaminate, ngram_join, secret_scan, sentence_pieces, toxicity
 from clickmetrics.llm.queries import table
 from clickmetrics.session import work_folder
 
 
-def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_texts(docs, model, docs.columns).where("score < 0.5").drop("score")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    linked = ngram_join.link_documents(docs, n=5, percent=80)
+    # Of a group stays the row whose id names it; rows without words are no copies of anything.
+    kept = linked.where("doc_id IS NULL OR component_id = doc_id").select("doc_id").distinct()
+    return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi").dropDuplicates(["doc_id", "text"])
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_passages(docs, table(spark, sf_dir, "benchmark"))
+    hit = found.where("contaminated").select("doc_id").distinct()
+    return docs.join(hit, docs.doc_id.eqNullSafe(hit.doc_id), "left_anti")
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    clean = secret_scan.redact_texts(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("bigint")) if "n_chars" in docs.columns else clean
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sentence_pieces.round_trip(docs)
 
 
-STAGES = [("sentence pieces", pieces)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_join", drop_near_copies),
+    ("decontaminate", drop_contaminated),
+    ("secrets", redact_secrets),
+    ("pieces", encode),
+]
 
+# Subsequence kernels and sentence pieces have no SQL form; tests compare with plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = work_folder(spark, name.replace(" ", "-"))
+        path = work_folder(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
