@@ -7,8 +7,9 @@ size is fixed whatever the corpus (cells that clash only blur the order, never t
 are similar enough share an n-gram of their prefixes, which are short by that order.
 
 Classes meet in the groups of one prefix n-gram. The first round only pairs each member with the
-group's pivot, linear in the group; most near copies are joined there. The second round pairs what
-is left: members of one group that are still in different components and pass the length filter;
+group's pivot, linear in the group; most near copies are joined there. Further rounds do so with other
+pivots for members still apart from them. The last pairs what is left: all members of one group that
+are in different components and pass the length filter;
 the positional filter drops a pair by the first n-gram it shares, parity bits of the whole sets drop
 most that differ too much behind it. Every pair is verified once, with the suffix filter before the
 full intersection. No link between components is lost: whatever shares
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickmetrics.llm.common import chain_hash, keep_files, map_batches, text_bytes, words_of
+from clickmetrics.llm.common import chain_hash, keep_files, map_batches, mix64, text_bytes, words_of
 from clickmetrics.llm.components import components
 
 # A document's words are runs of anything but blanks; A-Z count as a-z. Values are bytes plus one.
@@ -40,6 +41,7 @@ CELL_BITS = 20
 SLICES = 64
 GROUP_MEMBERS = 512
 PARITY = 512
+PIVOT_ROUNDS = 3
 
 
 def shingle_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -186,34 +188,41 @@ def parity_bits(grams: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def _left(percent: int):
-    names = "a b"
+def _candidates(percent: int, seed: int | None):
+    """Pairs (a, b) of different components: each member with the group's pivot by ``seed``, or all of them."""
 
-    def work(token, node, n, pos, pivot, comp, bits) -> Iterator[pa.RecordBatch]:
+    def pairs(i: int, j: np.ndarray, node, n, pos, comp, words) -> np.ndarray:
+        """Those of ``j`` that may link with ``i``."""
+        j = j[comp[j] != comp[i]]
+        need = least_overlap(n[i], n[j], percent)
+        # If this is the first n-gram they share, no more than what follows it is shared; if it is
+        # not, the pair came up at the first one, with more behind it. Covers the length filter.
+        j, need = _keep(j, need, np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need)
+        differ = np.bitwise_count(words[j] ^ words[i]).sum(axis=1, dtype=np.int64)
+        return j[n[i] + n[j] - differ >= 2 * need]
+
+    def work(token, node, n, pos, comp, bits) -> Iterator[pa.RecordBatch]:
         starts, ends = _groups(token)
         words = np.frombuffer(b"".join(bits), "<u8").reshape(len(bits), -1)
+        n = n.astype(np.int64)
         out: list[tuple] = []
         held = 0
         for a, b in zip(starts.tolist(), ends.tolist()):
-            for i in range(a, b - 1):
-                stop = a + int(np.searchsorted(n[a:b], 100 * n[i] // percent, side="right"))
-                j = np.arange(i + 1, stop)
-                # Those paired with their pivot were tested in the first round.
-                j = j[(comp[j] != comp[i]) & (pivot[j] != node[i]) & (pivot[i] != node[j])]
-                need = least_overlap(n[i], n[j], percent)
-                # If this is the first n-gram they share, no more than what follows it is shared; if it is
-                # not, the pair came up at the first one, with more behind it.
-                j, need = _keep(j, need, np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need)
-                differ = np.bitwise_count(words[j] ^ words[i]).sum(axis=1, dtype=np.int64)
-                j, need = _keep(j, need, n[i] + n[j] - differ >= 2 * need)
+            if seed is None:
+                tries = ((i, np.arange(i + 1, a + int(np.searchsorted(n[a:b], 100 * n[i] // percent, side="right")))) for i in range(a, b - 1))
+            else:
+                pivot = a + int(np.argmin(mix64(node[a:b].astype(np.uint64) + np.uint64(seed))))
+                tries = [(pivot, np.arange(a, b))]
+            for i, j in tries:
+                j = pairs(i, j, node, n, pos, comp, words)
                 if len(j):
-                    out.append((np.full(len(j), node[i]), node[j]))
+                    out.append((node[j], np.full(len(j), node[i])))
                     held += len(j)
                 if held > 1 << 18:
-                    yield _batch(names, *[np.concatenate(c) for c in zip(*out)])
+                    yield _batch("a b", *[np.concatenate(c) for c in zip(*out)])
                     out, held = [], 0
         if out:
-            yield _batch(names, *[np.concatenate(c) for c in zip(*out)])
+            yield _batch("a b", *[np.concatenate(c) for c in zip(*out)])
 
     return work
 
@@ -222,7 +231,7 @@ def _keep(j: np.ndarray, need: np.ndarray, yes: np.ndarray) -> tuple[np.ndarray,
     return j[yes], need[yes]
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """(a, b) of the pairs that link. ``pairs`` (a, b) is distinct; texts go to b, cut into small groups."""
     spark = pairs.sparkSession
     # A pivot with many members is tested in several groups, each with its own copy of the pivot.
@@ -234,8 +243,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, n: int, perce
     )
     sent = (
         to.groupBy("node").agg(F.collect_list(F.struct("b", "part")).alias("to"))
-        .join(nodes, "node")
-        .join(docs, docs.doc_key.eqNullSafe(nodes.doc_key) & (docs.text_key == nodes.text_key))
+        .join(texts, "node")
         .select("node", "text", F.explode("to").alias("to"))
         .select("node", "text", "to.b", "to.part")
     )
@@ -324,22 +332,33 @@ def link_documents(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         _by_token(index, _pivots(percent), "token bigint, node bigint, n int, pos int, pivot bigint, pivot_n int, pivot_pos int"),
         "members",
     )
-    texts = docs.select(F.col("doc_id").alias("doc_key"), F.xxhash64("text").alias("text_key"), "text").where("text IS NOT NULL")
+    # Texts of one document for each class that met another: the only ones that are compared.
+    met = nodes.join(members.select("node").distinct(), "node")
+    texts = docs.select("doc_id", "text").withColumn("key_of_text", F.xxhash64("text"))
+    texts = texts.join(met, texts.doc_id.eqNullSafe(met.doc_key) & (texts.key_of_text == met.text_key))
+    texts = keep_files(spark, texts.select("node", "text"), "texts")
+
     first = members.where("node <> pivot").groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(
         F.min("pos").alias("ap"), F.min("pivot_pos").alias("bp"), F.first("n").alias("an"), F.first("pivot_n").alias("bn")
     )
-    links = _verified(_positional(first, percent), texts, nodes, n, percent)
+    tested = keep_files(spark, _positional(first, percent), "tested")
+    links = _verified(tested, texts, n, percent)
     labels = components(links)
-    placed = members.join(labels, "node", "left").select(
-        "token", "node", "n", "pos", "pivot", F.coalesce("label", "node").alias("comp")
-    )
-    # Groups whose members are all in one component are done.
-    mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    placed = placed.join(mixed, "token", "left_semi").join(classes.select("node", "bits"), "node")
-    placed = placed.select("token", "node", "n", "pos", "pivot", "comp", "bits")
-    rest = keep_files(spark, _by_token(placed, _left(percent), "a bigint, b bigint").distinct(), "rest")
-    if rest.limit(1).count():
-        labels = components(links.unionByName(_verified(rest, texts, nodes, n, percent)))
+    for seed in (*range(1, PIVOT_ROUNDS + 1), None):
+        placed = members.join(labels, "node", "left").select(
+            "token", "node", "n", "pos", F.coalesce("label", "node").alias("comp")
+        )
+        # Groups whose members are all in one component are done.
+        mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+        placed = placed.join(mixed, "token", "left_semi").join(classes.select("node", "bits"), "node")
+        placed = placed.select("token", "node", "n", "pos", "comp", "bits")
+        pairs = _by_token(placed, _candidates(percent, seed), "a bigint, b bigint").distinct()
+        known = tested.union(tested.select("b", "a")).toDF("a", "b")
+        pairs = keep_files(spark, pairs.join(known, ["a", "b"], "left_anti"), "tested")
+        if pairs.limit(1).count():
+            links = links.unionByName(_verified(pairs, texts, n, percent))
+            labels = components(links)
+            tested = tested.unionByName(pairs)
     own = classes.join(labels, "node", "left").select("key", "least", F.coalesce("label", "node").alias("label"))
     lowest = own.groupBy("label").agg(F.min("least").alias("component_id"))
     placed = own.join(lowest, "label").select("key", "component_id")
