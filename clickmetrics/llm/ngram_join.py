@@ -7,8 +7,8 @@ size is fixed whatever the corpus (cells that clash only blur the order, never t
 are similar enough share an n-gram of their prefixes, which are short by that order.
 
 Classes meet in the groups of one prefix n-gram. The first round only pairs each member with the
-group's pivot, linear in the group; most near copies are joined there. Further rounds do so with other
-pivots for members still apart from them. The last pairs what is left: all members of one group that
+group's pivot, linear in the group; most near copies are joined there. The second pairs each
+member with a few others of other components, also linear. The last pairs what is left: all members of one group that
 are in different components and pass the length filter;
 the positional filter drops a pair by the first n-gram it shares, parity bits of the whole sets drop
 most that differ too much behind it. Every pair is verified once, with the suffix filter before the
@@ -41,7 +41,7 @@ CELL_BITS = 20
 SLICES = 64
 GROUP_MEMBERS = 512
 PARITY = 512
-PIVOT_ROUNDS = 3
+NEIGHBOURS = 16
 
 
 def shingle_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -188,8 +188,8 @@ def parity_bits(grams: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def _candidates(percent: int, seed: int | None):
-    """Pairs (a, b) of different components: each member with the group's pivot by ``seed``, or all of them."""
+def _candidates(percent: int, width: int | None):
+    """Pairs (a, b) of different components: each member with the ``width`` next ones in hash order, or with all."""
 
     def pairs(i: int, j: np.ndarray, node, n, pos, comp, words) -> np.ndarray:
         """Those of ``j`` that may link with ``i``."""
@@ -208,11 +208,12 @@ def _candidates(percent: int, seed: int | None):
         out: list[tuple] = []
         held = 0
         for a, b in zip(starts.tolist(), ends.tolist()):
-            if seed is None:
+            if width is None:
                 tries = ((i, np.arange(i + 1, a + int(np.searchsorted(n[a:b], 100 * n[i] // percent, side="right")))) for i in range(a, b - 1))
             else:
-                pivot = a + int(np.argmin(mix64(node[a:b].astype(np.uint64) + np.uint64(seed))))
-                tries = [(pivot, np.arange(a, b))]
+                # The same order in every group, so that groups with the same members name the same pairs.
+                order = a + np.argsort(mix64(node[a:b].astype(np.uint64)))
+                tries = ((i, order[k + 1 : k + 1 + width]) for k, i in enumerate(order.tolist()))
             for i, j in tries:
                 j = pairs(i, j, node, n, pos, comp, words)
                 if len(j):
@@ -344,7 +345,7 @@ def link_documents(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     tested = keep_files(spark, _positional(first, percent), "tested")
     links = _verified(tested, texts, n, percent)
     labels = components(links)
-    for seed in (*range(1, PIVOT_ROUNDS + 1), None):
+    for width in (NEIGHBOURS, None):
         placed = members.join(labels, "node", "left").select(
             "token", "node", "n", "pos", F.coalesce("label", "node").alias("comp")
         )
@@ -352,7 +353,7 @@ def link_documents(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
         placed = placed.join(mixed, "token", "left_semi").join(classes.select("node", "bits"), "node")
         placed = placed.select("token", "node", "n", "pos", "comp", "bits")
-        pairs = _by_token(placed, _candidates(percent, seed), "a bigint, b bigint").distinct()
+        pairs = _by_token(placed, _candidates(percent, width), "a bigint, b bigint").distinct()
         known = tested.union(tested.select("b", "a")).toDF("a", "b")
         pairs = keep_files(spark, pairs.join(known, ["a", "b"], "left_anti"), "tested")
         if pairs.limit(1).count():
