@@ -41,7 +41,7 @@ CELL_BITS = 20
 SLICES = 64
 GROUP_MEMBERS = 512
 PARITY = 512
-NEIGHBOURS = 16
+NEIGHBOURS = 48
 
 
 def shingle_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:

@@ -1,0 +1,293 @@
+"""The corpus operators against plain versions, on small tables with awkward rows."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from clickmetrics.llm import (
+    decontaminate,
+    exact_topk,
+    ngram_join,
+    secret_scan,
+    sentence_pieces,
+    sharding,
+    suffix_dedup,
+    token_counts,
+    token_files,
+    toxicity,
+)
+from clickmetrics.llm.common import tokenizer_path
+
+WORDS = "the of and thing IDIOT über naïve x1 don't 執行 🙂 a,b stop. <|endoftext|>".split()
+LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def _texts():
+    rng = random.Random(5)
+    base = [" ".join(rng.choice(WORDS) for _ in range(rng.randrange(1, 120))) for _ in range(40)]
+    near = [t + " more" for t in base[:10]] + [t.replace("thing", "things", 1) for t in base[:10]]
+    odd = [None, "", " ", "\n", "  two  blanks \n\n x", "a" * 3000, "ab " * 2000, "\x00\x1c\xa0y", "▁▁x", "İ. ÉΣ'll"]
+    texts = base + base[:5] + near + odd
+    return [(k, t) for k, t in enumerate(texts)] + [(3, texts[3]), (3, "another row of id three"), (None, base[0])]
+
+
+ROWS = _texts()
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    # Extra columns have the names that the operators use inside.
+    made = spark.createDataFrame([(i, t, "k", 7) for i, t in ROWS], "doc_id bigint, text string, node string, h int")
+    return made.repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], "doc_id bigint, text string")
+
+
+def _sorted(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def test_sentence_pieces(docs, none):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    expected = []
+    for i, t in ROWS:
+        ids = model.encode(t or "", add_bos=True, add_eos=True)
+        sha = [hashlib.sha256(b).hexdigest() for b in (np.array(ids, "<u4").tobytes(), model.decode(ids).encode())]
+        expected.append((i, len(ids), *sha))
+    assert _sorted(sentence_pieces.round_trip(docs)) == sorted(expected, key=repr)
+    assert sentence_pieces.round_trip(none).count() == 0
+    back = sentence_pieces.decode_ids(sentence_pieces.encode_texts(docs))
+    assert sorted(r.text for r in back.collect()) == sorted((t or "").replace("▁", " ") for _, t in ROWS)
+
+
+def _tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+
+
+def test_token_counts(docs, none):
+    tokenizer = _tokenizer()
+    expected = []
+    for i, t in ROWS:
+        n = len(tokenizer.encode(t or "", add_special_tokens=False).ids)
+        expected.append((i, len((t or "").encode()), n, n > 2048))
+    assert _sorted(token_counts.count_tokens(docs)) == sorted(expected, key=repr)
+    # Chunk borders anywhere, also inside words.
+    assert _sorted(token_counts.count_tokens(docs, chunk=7)) == sorted(expected, key=repr)
+    assert token_counts.count_tokens(none).count() == 0
+
+
+def test_token_files(docs, none):
+    tokenizer = _tokenizer()
+    got = token_files.through_files(docs).collect()
+    assert len(got) == len(ROWS)
+    ids = {}
+    for i, t in ROWS:
+        own = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 2]
+        ids.setdefault(i, []).append((len(own), zlib.crc32(np.array(own, "<u4").tobytes())))
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at and (r.n_tokens, r.ids_crc32) in ids[r.doc_id]
+        at += r.n_tokens
+    order = [r.doc_id for r in sorted(got, key=lambda r: r.start) if r.doc_id is not None]
+    assert order == sorted(order)
+    assert token_files.through_files(none).count() == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, 3, 700])
+def test_elias_fano(n):
+    values = np.sort(np.random.default_rng(n).integers(0, 900, n))
+    code = token_files.EliasFano.of(values, 900)
+    assert code.all().tolist() == values.tolist() == [code[k] for k in range(n)]
+
+
+def _removed(rows):
+    first = {}
+    for i, t in rows:
+        b = (t or "").encode()
+        for k in range(len(b) - 49):
+            first[b[k : k + 50]] = min(first.get(b[k : k + 50], math.inf), math.inf if i is None else i)
+    out = []
+    for i, t in rows:
+        b = (t or "").encode()
+        gone = bytearray(len(b))
+        for k in range(len(b) - 49):
+            if first[b[k : k + 50]] < (math.inf if i is None else i):
+                gone[k : k + 50] = b"\1" * 50
+        spans = sum(g and (k == 0 or not gone[k - 1]) for k, g in enumerate(gone))
+        kept = bytes(c for c, g in zip(b, gone) if not g)
+        out.append((i, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def test_suffix_dedup(spark, docs, none):
+    assert _sorted(suffix_dedup.remove_repeats(docs, bucket_bytes=4096)) == _removed(ROWS)
+    rng = random.Random(1)
+    rows = [(k, "".join(rng.choice("ab") for _ in range(rng.randrange(150)))) for k in range(60)]
+    rows += [(60 + k, rows[k][1][3:] + "x" + rows[2 * k % 60][1]) for k in range(60)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    assert _sorted(suffix_dedup.remove_repeats(table, bucket_bytes=1024)) == _removed(rows)
+    assert suffix_dedup.remove_repeats(none).count() == 0
+
+
+def test_deep_shallow_sort():
+    rows = np.random.default_rng(0).integers(0, 2, (500, 50)).astype(np.uint8)
+    rows[::3] = rows[0]
+    rows[::3, 40:] = np.random.default_rng(1).integers(0, 2, (len(rows[::3]), 10))
+    order = suffix_dedup.deep_shallow_sort(rows)
+    assert [rows[k].tobytes() for k in order] == sorted(r.tobytes() for r in rows)
+
+
+def test_decontaminate(spark, docs, none):
+    items = [(k, (t or "")[5:140]) for k, t in ROWS[:12]] + [(90, "thing"), (91, ""), (92, None), (None, ROWS[20][1])]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    cut = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate(LOW))
+    windows = {}
+    for k, t in items:
+        words = cut(t)
+        n = min(10, len(words))
+        for a in range(len(words) - n + 1 if n else 0):
+            windows.setdefault(tuple(words[a : a + n]), set()).add(k)
+    expected = []
+    for i, t in ROWS:
+        words = cut(t)
+        hit, named = set(), set()
+        for n in range(1, 11):
+            for a in range(len(words) - n + 1):
+                own = windows.get(tuple(words[a : a + n]))
+                if own:
+                    hit.update(range(a, a + n))
+                    named |= own - {None}
+        listed = hashlib.sha256(",".join(sorted(map(str, named))).encode()).hexdigest()
+        expected.append((i, len(words), len(hit), len(named), listed, bool(hit)))
+    expected.sort(key=repr)
+    assert _sorted(decontaminate.find_passages(docs, bench)) == expected
+    assert _sorted(decontaminate.find_passages(docs, bench, slice_bytes=300)) == expected
+    assert decontaminate.find_passages(none, bench).count() == 0
+    empty = bench.where("false")
+    assert decontaminate.find_passages(docs, empty).where("contaminated").count() == 0
+
+
+@pytest.mark.parametrize(("n", "percent"), [(3, 90), (5, 80)])
+def test_ngram_join(docs, none, n, percent):
+    sets = []
+    for _, t in ROWS:
+        words = re.findall("[^\x20\x09-\x0d]+", (t or "").translate(LOW))
+        sets.append({tuple(words[k : k + n]) for k in range(max(len(words) - n + 1, min(1, len(words))))})
+    label = list(range(len(ROWS)))
+    for a in range(len(ROWS)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
+                old, new = label[a], label[b]
+                label = [new if x == old else x for x in label]
+    least = {}
+    for (i, _), x in zip(ROWS, label):
+        if i is not None:
+            least[x] = min(least.get(x, i), i)
+    expected = [(i, len(s), least.get(x)) for (i, _), s, x in zip(ROWS, sets, label)]
+    assert _sorted(ngram_join.link_documents(docs, n, percent)) == sorted(expected, key=repr)
+    assert ngram_join.link_documents(none, n, percent).count() == 0
+
+
+def test_ngram_join_of_many_near_copies(spark):
+    """A chain of near copies, each of which links only with its neighbours, is one component."""
+    words = [f"w{k}" for k in range(400)]
+    rows = [(k, " ".join(words[2 * k : 2 * k + 200])) for k in range(60)]
+    got = ngram_join.link_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), 3, 90)
+    assert {r.component_id for r in got.collect()} == {0}
+
+
+def test_secrets(docs, none):
+    text = 'x password = "hunter22hunter" AKIAABCDEFGHIJKL ' + "0af" * 12 + " k9Fz2LqW8xT4vB7nM1cR token:short"
+    found = secret_scan.find_secrets(text)
+    assert [k for *_, k in found] == ["assign", "access", "hex", "entropy"]
+    assert text[found[0][0] : found[0][1]] == 'password = "hunter22hunter'
+    assert "hunter22" not in secret_scan.redact(text) and secret_scan.redact("plain words") == "plain words"
+    assert secret_scan.find_secrets("some/path/with/plain/words 123e4567-e89b-12d3-a456-426614174000") == []
+    assert secret_scan.scan(docs).count() == len(ROWS) and secret_scan.scan(none).count() == 0
+    run = "aabbk9Fz2LqW8xT4vB7nM1cRaaaaaaaaaaaaaaaaaaaaaaaa"
+    for threshold in (2.0, 3.5, 4.2):
+        covered = set()
+        for a in range(len(run) - 19):
+            window = run[a : a + 20]
+            bits = -sum(window.count(c) / 20 * math.log2(window.count(c) / 20) for c in set(window))
+            if bits >= threshold - 1e-9:
+                covered.update(range(a, a + 20))
+        assert {k for a, b in secret_scan.entropy_spans(run, threshold=threshold) for k in range(a, b)} == covered
+
+
+def test_sharding(docs, none):
+    got = sharding.shard_documents(docs, shards=4).collect()
+    assert len(got) == len(ROWS)
+    expected = [(i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in ROWS]
+    assert sorted(((r.doc_id, r.size, r.text_crc32) for r in got), key=repr) == sorted(expected, key=repr)
+    slots = [sorted(r.slot for r in got if r.shard == s) for s in range(4)]
+    assert all(s == list(range(len(s))) for s in slots)
+    assert max(map(len, slots)) - min(map(len, slots)) <= 1
+    assert sharding.shard_documents(none).count() == 0
+    assert sorted(sharding.fisher_yates(50, 1, 2)) == list(range(50))
+
+
+def test_exact_topk(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, rng.normal(size=8).astype("f4").tolist()) for k in range(300)] + [(300, [1.0] * 3), (301, None)]
+    rows += [(302, [float("nan")] * 8), (303, [None] + [1.0] * 7), (None, [1.0] * 8), (304, rows[7][1])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    usable = [(k, np.floor(64 * np.array(v, "f4").astype(float)).astype(int)) for k, v in rows[:300]] + [(304, None)]
+    usable[-1] = (304, usable[7][1])
+    expected = []
+    for q, x in usable:
+        if q % 20 == 0:
+            best = sorted((-int(x @ y), k) for k, y in usable if k != q)[:20]
+            expected += [(q, r + 1, k, -s) for r, (s, k) in enumerate(best)]
+    assert _sorted(exact_topk.search_all(table)) == sorted(expected, key=repr)
+    assert exact_topk.search_all(table.where("false")).count() == 0
+
+
+def test_toxicity(spark, none):
+    rng = random.Random(2)
+    plain = ["".join(rng.choice("aeiourstln") for _ in range(rng.randrange(2, 8))) for _ in range(400)]
+    rows, marks = [], []
+    for k in range(600):
+        words = [rng.choice(plain) for _ in range(40)]
+        if k % 6 == 0:
+            words[rng.randrange(40)] = rng.choice(["blockhead", "dimwit", "numbskull"])
+        rows.append((k, " ".join(words)))
+        marks.append((k, 0, int(k % 6 == 0)))
+    rows += [(600, None), (601, ""), (602, "a dimmwit here"), (None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int, toxic int")
+    got = {r.doc_id: r for r in toxicity.score_documents(docs, labels).collect()}
+    assert len(got) == len(rows)
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items() if i is not None)
+    kept = [k for k in range(600) if got[k].held_out]
+    assert sum(got[k].predicted == marks[k][2] for k in kept) >= 0.95 * len(kept)
+    assert got[600].predicted == got[601].predicted == 0
+    # An inserted letter lowers a score less than another word does.
+    assert got[602].score > 2 * got[601].score
+    assert toxicity.score_documents(none, labels).count() == 0
+    assert {r.score for r in toxicity.score_documents(docs, labels.where("false")).collect()} == {0.0}
+
+
+def test_pipeline(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        after = stage(spark, docs, sf)
+        assert after.columns == docs.columns, name
+        assert 0 < after.count() <= docs.count()
+        docs = after
+    assert corpus_pipeline.STAGES[4][1](spark, docs, sf).count() == docs.count()
