@@ -87,6 +87,9 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
+SHOWN = 100
+
+
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session(f"clickmetrics-{args.job}", hive=getattr(args, "hive", False))
@@ -100,7 +103,11 @@ def main(argv: list[str] | None = None) -> None:
     if args.output:
         result.write.parquet(args.output)
     else:
-        result.show(100, truncate=False)
+        result = result.persist()
+        rows = result.count()
+        result.show(SHOWN, truncate=False)
+        if rows > SHOWN:
+            print(f"{rows - SHOWN} more rows; --output writes them all")
 
 
 if __name__ == "__main__":

@@ -13,15 +13,15 @@ uva AS (
            strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS action_time,
            'null' AS search_keyword,
            CASE WHEN event_type = 'click' THEN k % 20 ELSE -1 END AS click_category_id,
-           CASE WHEN event_type = 'click' THEN event_id % 200 ELSE -1 END AS click_product_id,
+           CASE WHEN event_type = 'click' THEN event_id % (SELECT count(*) FROM part) ELSE -1 END AS click_product_id,
            CASE WHEN event_type = 'purchase' OR (event_type = 'click' AND k % 10 = 0)
                 THEN (k % 20) || ',' || ((k + 7) % 20) ELSE 'null' END AS order_category_ids,
            CASE WHEN event_type = 'purchase' OR (event_type = 'click' AND k % 10 = 0)
-                THEN (event_id % 200) || ',' || ((event_id + 7) % 200) ELSE 'null' END AS order_product_ids,
+                THEN (event_id % (SELECT count(*) FROM part)) || ',' || ((event_id + 7) % (SELECT count(*) FROM part)) ELSE 'null' END AS order_product_ids,
            CASE WHEN event_type = 'signup'
                 THEN (k % 18) || ',' || ((k + 5) % 18) ELSE 'null' END AS pay_category_ids,
            CASE WHEN event_type = 'signup'
-                THEN (event_id % 200) || ',' || ((event_id + 5) % 200) ELSE 'null' END AS pay_product_ids,
+                THEN (event_id % (SELECT count(*) FROM part)) || ',' || ((event_id + 5) % (SELECT count(*) FROM part)) ELSE 'null' END AS pay_product_ids,
            user_id % 25 AS city_id
     FROM k_events)"""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmetrics.schemas import USER_VISIT_ACTION, column_names
+from clickmetrics.schemas import NO_IDS, USER_VISIT_ACTION, column_names
 
 SEPARATOR = "_"
 
@@ -13,17 +13,23 @@ SEPARATOR = "_"
 def parse_actions(lines: DataFrame, mode: str = "strict") -> DataFrame:
     """Turn ``value`` lines with ``_`` between the fields into the 13 typed columns.
 
-    ``strict`` fails the job on a short line or a bad number (this needs ANSI mode, Spark's
-    default); ``permissive`` drops such lines.
+    ``strict`` fails the job on a short line or a bad number, whichever columns are read later and
+    with ANSI mode on or off; ``permissive`` drops such lines.
     """
     if mode not in ("strict", "permissive"):
         raise ValueError(f"unknown mode: {mode}")
-    item, cast = ("p[{}]", "cast") if mode == "strict" else ("get(p, {})", "try_cast")
     columns = [c.split() for c in USER_VISIT_ACTION.split(", ")]
-    typed = lines.select(F.split("value", SEPARATOR).alias("p")).selectExpr(
-        *[f"{cast}({item.format(i)} AS {kind}) AS {name}" for i, (name, kind) in enumerate(columns)]
+    typed = lines.select("value", F.split("value", SEPARATOR).alias("p")).selectExpr(
+        "value", *[f"try_cast(get(p, {i}) AS {kind}) AS {name}" for i, (name, kind) in enumerate(columns)]
     )
-    return typed if mode == "strict" else typed.dropna()
+    names = [name for name, _ in columns]
+    return (fail_on_missing(typed, names) if mode == "strict" else typed.dropna(subset=names)).select(*names)
+
+
+def fail_on_missing(parsed: DataFrame, names: list[str]) -> DataFrame:
+    """Fails the job on a row that lacks one of the columns. A filter, so no plan leaves it out."""
+    missing = " OR ".join(f"{name} IS NULL" for name in names)
+    return parsed.where(f"CASE WHEN {missing} THEN raise_error(concat('bad line: ', value)) ELSE true END")
 
 
 def read_actions_text(spark: SparkSession, path: str, mode: str = "strict") -> DataFrame:
@@ -31,9 +37,13 @@ def read_actions_text(spark: SparkSession, path: str, mode: str = "strict") -> D
 
 
 def action_lines(actions: DataFrame) -> DataFrame:
-    """The inverse of :func:`parse_actions`."""
-    fields = ", ".join(column_names(USER_VISIT_ACTION))
-    return actions.selectExpr(f"concat_ws('{SEPARATOR}', {fields}) AS value")
+    """The inverse of :func:`parse_actions`; NULL is written as text, a separator inside a field fails."""
+    fields = [f"coalesce(CAST({name} AS string), '{NO_IDS}')" for name in column_names(USER_VISIT_ACTION)]
+    safe = [
+        f"CASE WHEN contains({f}, '{SEPARATOR}') THEN raise_error(concat('separator in field: ', {f})) ELSE {f} END"
+        for f in fields
+    ]
+    return actions.selectExpr(f"concat_ws('{SEPARATOR}', {', '.join(safe)}) AS value")
 
 
 def write_actions_text(actions: DataFrame, path: str) -> None:

@@ -5,28 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickmetrics.sources.actions import fail_on_missing
+
 
 def parse_ads(lines: DataFrame, mode: str = "strict") -> DataFrame:
     """``ts_ms,area,city,user,ad`` lines -> the 8 ad-click columns; batch and stream alike.
 
-    ``strict`` fails on a short line or a bad time (needs ANSI mode); ``permissive`` drops it.
+    ``strict`` fails on a short line or a bad time, whichever columns are read later; ``permissive``
+    drops it.
     """
-    # An empty last field counts as missing, so commas at the end are cut first.
-    parts = lines.select(F.split(F.rtrim("value", F.lit(",")), ",").alias("p"))
-    if mode == "strict":
-        raw = parts.selectExpr(
-            "cast(p[0] AS bigint) AS ts", "p[1] AS area", "p[2] AS city", "p[3] AS userId", "p[4] AS adsId"
-        )
-    elif mode == "permissive":
-        raw = parts.selectExpr(
-            "try_cast(get(p, 0) AS bigint) AS ts",
-            "get(p, 1) AS area",
-            "get(p, 2) AS city",
-            "get(p, 3) AS userId",
-            "get(p, 4) AS adsId",
-        ).dropna()
-    else:
+    if mode not in ("strict", "permissive"):
         raise ValueError(f"unknown mode: {mode}")
+    # An empty last field counts as missing, so commas at the end are cut first.
+    parts = lines.select("value", F.split(F.rtrim("value", F.lit(",")), ",").alias("p"))
+    names = ["ts", "area", "city", "userId", "adsId"]
+    raw = parts.selectExpr(
+        "value", "try_cast(get(p, 0) AS bigint) AS ts", *[f"get(p, {i}) AS {c}" for i, c in enumerate(names) if i]
+    )
+    raw = fail_on_missing(raw, names) if mode == "strict" else raw.dropna(subset=names)
     return raw.selectExpr(
         "ts",
         "timestamp_millis(ts) AS timestamp",

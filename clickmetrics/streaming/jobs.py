@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickmetrics.operators import ads as A
-from clickmetrics.schemas import ADS_INFO, KEY_VALUE
+from clickmetrics.schemas import ADS_INFO, KEY_VALUE, column_names
 from clickmetrics.streaming.tables import BatchTable
 
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
@@ -60,6 +60,11 @@ def hash_table(folder: str) -> BatchTable:
     return BatchTable(f"{folder}/hash", KEY_VALUE, ["key", "field"])
 
 
+def _by_day(ads: DataFrame, watermark: str) -> DataFrame:
+    """Clicks with the start of their day in the session's time zone, the same day as ``dayString``."""
+    return ads.withColumn("day", F.date_trunc("day", "timestamp")).withWatermark("day", watermark)
+
+
 def _running_counts(ads: DataFrame, watermark: str | None) -> DataFrame:
     """Running totals; each batch emits only the totals it changed.
 
@@ -69,8 +74,8 @@ def _running_counts(ads: DataFrame, watermark: str | None) -> DataFrame:
     if watermark is None:
         return ads.groupBy("dayString", "area", "adsId").agg(F.count("*").alias("n"))
     return (
-        ads.withWatermark("timestamp", watermark)
-        .groupBy(F.window("timestamp", "1 day").alias("day"), "dayString", "area", "adsId")
+        _by_day(ads, watermark)
+        .groupBy("day", "dayString", "area", "adsId")
         .agg(F.count("*").alias("n"))
         .drop("day")
     )
@@ -212,7 +217,7 @@ def start_blacklist(
     if watermark is None:
         grouped = ads.groupBy(*keys)
     else:
-        grouped = ads.withWatermark("timestamp", watermark).groupBy(F.window("timestamp", "1 day"), *keys)
+        grouped = _by_day(ads, watermark).groupBy("day", *keys)
     listed = grouped.agg(F.count("*").alias("n")).where(F.col("n") >= min_clicks).select(*A.USER_DAY)
     table = blacklist_table(folder)
 
@@ -267,7 +272,7 @@ def start_blacklist_loop(
 
 
 def read_passed(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(ADS_INFO).parquet(f"{folder}/passed")
+    return spark.read.schema(ADS_INFO).parquet(f"{folder}/passed").select(*column_names(ADS_INFO))
 
 
 # --- raw rows --------------------------------------------------------------------------------------
