@@ -343,8 +343,7 @@ def link_documents(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         F.min("pos").alias("ap"), F.min("pivot_pos").alias("bp"), F.first("n").alias("an"), F.first("pivot_n").alias("bn")
     )
     tested = keep_files(spark, _positional(first, percent), "tested")
-    links = _verified(tested, texts, n, percent)
-    labels = components(links)
+    labels = components(_verified(tested, texts, n, percent))
     for width in (NEIGHBOURS, None):
         placed = members.join(labels, "node", "left").select(
             "token", "node", "n", "pos", F.coalesce("label", "node").alias("comp")
@@ -357,8 +356,7 @@ def link_documents(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         known = tested.union(tested.select("b", "a")).toDF("a", "b")
         pairs = keep_files(spark, pairs.join(known, ["a", "b"], "left_anti"), "tested")
         if pairs.limit(1).count():
-            links = links.unionByName(_verified(pairs, texts, n, percent))
-            labels = components(links)
+            labels = components(_contracted(_verified(pairs, texts, n, percent), labels))
             tested = tested.unionByName(pairs)
     own = classes.join(labels, "node", "left").select("key", "least", F.coalesce("label", "node").alias("label"))
     lowest = own.groupBy("label").agg(F.min("least").alias("component_id"))
@@ -370,6 +368,15 @@ def link_documents(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     )
 
 
+def _contracted(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """What links new between components, once for each two of them, and each node's place in its own."""
+    for end in ("a", "b"):
+        own = labels.select(F.col("node").alias(end), "label")
+        links = links.join(own, end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+    old = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+    return links.select("a", "b").where("a <> b").distinct().unionByName(old)
+
+
 def _positional(pairs: DataFrame, percent: int) -> DataFrame:
     """Pairs that can still overlap enough: nothing before the first shared n-gram is shared."""
     most = F.least(F.col("an") - F.col("ap"), F.col("bn") - F.col("bp"))
