@@ -68,4 +68,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_sentence_pieces, op2_suffix_dedup, op3_decontaminate, op4_ngram_join, op5_secret_scan, op6_toxicity, op7_sharding, op8_exact_topk, op9_token_files, op10_token_counts)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op8_exact_topk": """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 20 = 0),
+ranked AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+           vec_id, score
+    FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+}
