@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmetrics.functions import rate_percent
 
-# A session with more rows than this is not sorted in one task.
-HOT_ROWS = 1_000_000
-# Upper bound of the broadcast list of such sessions: 8 bytes each.
-MAX_HOT = 100_000
-# Characters of action_time that make up one slice of such a session: "yyyy-MM-dd HH:mm".
-SLICE_CHARS = 16
+# Lengths of the action_time prefixes that cut a session into slices, fine to coarse. Texts like
+# "yyyy-MM-dd HH:mm:ss" give minutes, then ten days; epoch seconds and milliseconds give ten seconds.
+PREFIXES = (16, 9)
 
 
 def _page_id(entry: str) -> int | None:
@@ -47,85 +46,46 @@ def _kept(next_page: str, steps: list[tuple[int, int]]) -> Column:
     return F.expr(f"CASE WHEN (page_id, {next_page}) IN ({wanted}) THEN {next_page} END")
 
 
-def _split_hot(actions: DataFrame, hot_rows: int) -> tuple[DataFrame, DataFrame]:
-    """The rows of ordinary sessions and those of sessions with more than ``hot_rows`` rows.
-
-    Sessions are counted by a hash of their id, which keeps the counting pass narrow; sessions that
-    share a hash are hot together, which the hot path can take. The list holds at most ``MAX_HOT``
-    hashes and is broadcast. Sessions beyond it count as ordinary; each of them has less than
-    1 / MAX_HOT of all rows.
-    """
-    rows = actions.select("session_id", "action_time", "page_id")
-    hot = (
-        rows.groupBy(F.xxhash64("session_id").alias("hot"))
-        .agg(F.count("*").alias("n"))
-        .where(F.col("n") > hot_rows)
-        .orderBy(F.desc("n"), "hot")
-        .limit(MAX_HOT)
-        .select("hot")
-    )
-    is_hot = F.xxhash64("session_id") == F.col("hot")
-    return rows.join(F.broadcast(hot), is_hot, "left_anti"), rows.join(F.broadcast(hot), is_hot, "left_semi")
-
-
-def _follow(rows: DataFrame) -> DataFrame:
-    """(page_id, following, copies) by one window per session."""
-    in_session = Window.partitionBy("session_id").orderBy("action_time", "page_id")
-    return rows.select(
-        "page_id", F.lead("page_id").over(in_session).alias("following"), F.lit(1).cast("bigint").alias("copies")
-    )
-
-
-def _follow_hot(rows: DataFrame, slice_chars: int) -> DataFrame:
-    """The same without ever holding a session in one task.
+def _follow(actions: DataFrame, prefixes: tuple[int, ...]) -> DataFrame:
+    """(page_id, following, copies): the page after each distinct (session, time, page).
 
-    Equal (session, time, page) rows are first folded into one with a count. The order is then
-    taken inside slices of a session, a slice being one prefix of the action_time text; a prefix
-    never reorders texts. Only the first and last row of each slice go on to a window over the
-    whole session, which links neighbouring slices.
+    Equal rows are first folded into one with a count. The order is then taken inside slices of a
+    session, a slice being one prefix of the action_time text; a prefix never reorders texts. Only
+    the first and last row of a slice go on, to the slices of the next, shorter prefix and at last
+    to the session, so no task gets more of a long session than one slice of it.
     """
-    folded = (
-        rows.groupBy("session_id", "action_time", "page_id")
-        .agg(F.count("*").alias("copies"))
-        .withColumn("slice", F.substring("action_time", 1, slice_chars))
-    )
-    in_slice = Window.partitionBy("session_id", "slice").orderBy("action_time", "page_id")
+    rows = actions.groupBy("session_id", "action_time", "page_id").agg(F.count("*").alias("copies"))
+    inside = []
+    for length in prefixes:
+        in_slice = Window.partitionBy("session_id", F.substring("action_time", 1, length)).orderBy(
+            "action_time", "page_id"
+        )
+        linked = rows.select(
+            *rows.columns,
+            F.lead("page_id").over(in_slice).alias("following"),
+            (F.row_number().over(in_slice) == 1).alias("opens"),
+            F.lead(F.lit(True)).over(in_slice).isNull().alias("closes"),
+        )
+        # A row that opens a slice and has a follower in it is linked here, and is only a neighbour
+        # from here on; copies of 0 mark that.
+        inside.append(linked.where(~F.col("closes")).select("page_id", "following", "copies"))
+        copies = F.when(F.col("closes"), F.col("copies")).otherwise(0).alias("copies")
+        rows = linked.where(F.col("opens") | F.col("closes")).select("session_id", "action_time", "page_id", copies)
     in_session = Window.partitionBy("session_id").orderBy("action_time", "page_id")
-    linked = folded.select(
-        "session_id",
-        "action_time",
-        "page_id",
-        "copies",
-        F.lead("page_id").over(in_slice).alias("following"),
-        (F.row_number().over(in_slice) == 1).alias("opens"),
-        F.lead(F.lit(True)).over(in_slice).isNull().alias("closes"),
-    )
-    inside = linked.where(~F.col("closes")).select("page_id", "following", "copies")
-    between = (
-        linked.where(F.col("opens") | F.col("closes"))
-        .withColumn("following", F.lead("page_id").over(in_session))
-        .where("closes")
-        .select("page_id", "following", "copies")
-    )
-    return inside.unionByName(between)
+    between = rows.select("page_id", F.lead("page_id").over(in_session).alias("following"), "copies")
+    return reduce(DataFrame.unionByName, inside, between).where(F.col("copies") > 0)
 
 
-def page_steps(
-    actions: DataFrame, flow: str, hot_rows: int = HOT_ROWS, slice_chars: int = SLICE_CHARS
-) -> DataFrame:
+def page_steps(actions: DataFrame, flow: str, prefixes: tuple[int, ...] = PREFIXES) -> DataFrame:
     """(page_id, next_page, n) for the flow's source pages.
 
     ``next_page`` is the page that follows in the session, ordered by action_time and then
     page_id, or NULL where that step is not part of the flow. Summed over ``next_page``, n is the
     number of visits of the page, so one tally yields both sides of the rate.
-
-    Ordinary sessions take one shuffle by session id. Sessions with more than ``hot_rows`` rows are
-    cut into slices of ``slice_chars`` characters of action_time.
     """
     steps = _flow_steps(flow)
-    ordinary, hot = _split_hot(actions, hot_rows)
     return (
-        _follow(ordinary).unionByName(_follow_hot(hot, slice_chars))
+        _follow(actions, prefixes)
         .where(F.col("page_id").isin(*{a for a, _ in steps}))
         .groupBy("page_id", _kept("following", steps).alias("next_page"))
         .agg(F.count("*").alias("moves"), F.sum(F.col("copies") - 1).alias("repeats"))
@@ -147,25 +107,21 @@ def _jump() -> Column:
     return F.concat_ws("->", F.col("page_id").cast("string"), F.col("next_page").cast("string"))
 
 
-def page_transitions(
-    actions: DataFrame, flow: str, hot_rows: int = HOT_ROWS, slice_chars: int = SLICE_CHARS
-) -> DataFrame:
+def page_transitions(actions: DataFrame, flow: str, prefixes: tuple[int, ...] = PREFIXES) -> DataFrame:
     """Steps of the flow that occur at least once."""
     return (
-        page_steps(actions, flow, hot_rows, slice_chars)
+        page_steps(actions, flow, prefixes)
         .where(F.col("next_page").isNotNull() & (F.col("n") > 0))
         .select(_jump().alias("jump"), "n")
     )
 
 
-def page_conversion(
-    actions: DataFrame, flow: str, hot_rows: int = HOT_ROWS, slice_chars: int = SLICE_CHARS
-) -> DataFrame:
+def page_conversion(actions: DataFrame, flow: str, prefixes: tuple[int, ...] = PREFIXES) -> DataFrame:
     """Share of a source page's visits that go on to the next page of the flow."""
     of_page = Window.partitionBy("page_id")
     rate = F.col("n").cast("double") / F.col("visits")
     return (
-        page_steps(actions, flow, hot_rows, slice_chars)
+        page_steps(actions, flow, prefixes)
         .withColumn("visits", F.sum("n").over(of_page))
         .where(F.col("next_page").isNotNull() & (F.col("n") > 0))
         .select(_jump().alias("jump"), "n", "visits", rate.alias("rate"), rate_percent(rate).alias("rate_text"))
