@@ -52,26 +52,48 @@ def city_remark(df: DataFrame, *by: str, city: str = "city_name", weight: str |
     )
 
 
-def area_product_counts(actions: DataFrame, products: DataFrame, cities: DataFrame) -> DataFrame:
-    """Clicks and city remark per (area, product_name).
+def _named_counts(actions: DataFrame, products: DataFrame, cities: DataFrame) -> DataFrame:
+    """(area, product_name, city_name, clicks).
 
     The actions are counted per (product id, city id) before the joins: a hot product, and the
     no-click mark, enter the joins as one row per city.
     """
     counted = actions.groupBy("click_product_id", "city_id").agg(F.count("*").alias("clicks"))
-    named = (
+    return (
         counted.join(products, F.col("click_product_id") == F.col("product_id"))
         .join(cities, "city_id")
-        .select("area", "product_name", "city_name", "clicks")
+        .groupBy("area", "product_name", "city_name")
+        .agg(F.sum("clicks").alias("clicks"))
     )
-    return city_remark(named, "area", "product_name", weight="clicks")
+
+
+def area_product_counts(actions: DataFrame, products: DataFrame, cities: DataFrame) -> DataFrame:
+    """Clicks and city remark per (area, product_name)."""
+    return city_remark(_named_counts(actions, products, cities), "area", "product_name", weight="clicks")
 
 
 def area_product_top(counts: DataFrame, n: int = 3) -> DataFrame:
-    """Rank <= n per area by clicks; equal ranks all stay, so an area may show more than n rows."""
+    """Rank <= n per area by clicks; equal ranks all stay, so an area may show more than n rows.
+
+    These are the rows at or above the n-th largest count. Looking for that count alone, no task
+    gets more than n rows of an area from each other task, however many products tie.
+    """
     by_clicks = Window.partitionBy("area").orderBy(F.desc("click_count"))
-    return (
-        counts.withColumn("rank", F.rank().over(by_clicks))
-        .where(F.col("rank") <= n)
-        .select("area", "product_name", "click_count", "city_remark")
+    least = (
+        counts.select("area", "click_count")
+        .withColumn("place", F.row_number().over(by_clicks))
+        .where(F.col("place") <= n)
+        .groupBy(F.col("area").alias("_area"))
+        .agg(F.min("click_count").alias("_least"))
     )
+    in_area = counts["area"].eqNullSafe(F.col("_area"))
+    return counts.join(least, in_area & (counts["click_count"] >= F.col("_least"))).select(*counts.columns)
+
+
+def area_product_report(actions: DataFrame, products: DataFrame, cities: DataFrame, n: int = 3) -> DataFrame:
+    """``area_product_top`` of ``area_product_counts``, with the remark built for the top rows only."""
+    per_city = _named_counts(actions, products, cities)
+    totals = per_city.groupBy("area", "product_name").agg(F.sum("clicks").alias("click_count"))
+    top = area_product_top(totals, n).select(F.col("area").alias("_area"), F.col("product_name").alias("_name"))
+    is_top = per_city["area"].eqNullSafe(top["_area"]) & per_city["product_name"].eqNullSafe(top["_name"])
+    return city_remark(per_city.join(top, is_top, "left_semi"), "area", "product_name", weight="clicks")

@@ -88,7 +88,7 @@ QUERIES: dict[str, Query] = {
     "page_conversion_rate": _actions(lambda a: _rounded(pages.page_conversion(a, FLOW))),
     "area_product_clicks": _area(area.area_product_clicks),
     "area_product_counts": _area(area.area_product_counts),
-    "area_product_top3": _area(lambda a, p, c: area.area_product_top(area.area_product_counts(a, p, c))),
+    "area_product_top3": _area(area.area_product_report),
     "area_product_top3_sql": _area_sql,
     "city_remark": _area(
         lambda a, p, c: area.city_remark(area.area_product_clicks(a, p, c), "area").select("area", "city_remark")
@@ -107,14 +107,14 @@ QUERIES: dict[str, Query] = {
     ),
     "ads_area_top3_stream": _stream(jobs.start_area_top3, jobs.read_top3),
     "ads_area_top3_json_stream": _stream(
-        jobs.start_area_top3, lambda spark, f: jobs.hash_table(f).read(spark)
+        jobs.start_area_top3, jobs.read_top3_hash
     ),
     "ads_last_hour_clicks_stream": _stream(
         jobs.start_last_hour,
         lambda spark, f: jobs.minutes_table(f).read(spark).select("adsId", "hmString", "n"),
     ),
     "ads_last_hour_json_stream": _stream(
-        jobs.start_last_hour, lambda spark, f: jobs.last_hour_table(f).read(spark)
+        jobs.start_last_hour, jobs.read_last_hour_hash
     ),
     "ads_blacklist_build_stream": _stream(
         jobs.start_blacklist, lambda spark, f: jobs.blacklist_table(f).read(spark), min_clicks=MIN_CLICKS

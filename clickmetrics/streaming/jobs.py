@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickmetrics.operators import ads as A
-from clickmetrics.schemas import ADS_INFO, KEY_VALUE, column_names
+from clickmetrics.schemas import ADS_INFO, column_names
 from clickmetrics.streaming.tables import BatchTable
 
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
@@ -56,10 +56,6 @@ def top_table(folder: str) -> BatchTable:
     )
 
 
-def hash_table(folder: str) -> BatchTable:
-    return BatchTable(f"{folder}/hash", KEY_VALUE, ["key", "field"])
-
-
 def _by_day(ads: DataFrame, watermark: str) -> DataFrame:
     """Clicks with the start of their day in the session's time zone, the same day as ``dayString``."""
     return ads.withColumn("day", F.date_trunc("day", "timestamp")).withWatermark("day", watermark)
@@ -92,14 +88,14 @@ def start_daily_area_counts(
 def start_area_top3(
     ads: DataFrame, folder: str, trigger: dict = EVERY_5_SECONDS, watermark: str | None = None, k: int = 3
 ) -> StreamingQuery:
-    """Keeps ``top_table`` and ``hash_table`` of the folder.
+    """Keeps ``top_table`` of the folder; ``read_top3`` and ``read_top3_hash`` read it.
 
     Totals only grow, so an ad outside the old top k enters the new one only if this batch changed
     its total. A batch therefore ranks its changed totals together with the old top k of the
     (day, area) groups it touched, and never reads all totals.
     """
     changed_totals = BatchTable(f"{folder}/changed", COUNTS, None)
-    tops, hashes = top_table(folder), hash_table(folder)
+    tops = top_table(folder)
 
     def on_batch(changes: DataFrame, batch_id: int) -> None:
         spark = changes.sparkSession
@@ -109,15 +105,13 @@ def start_area_top3(
             return
         touched = changed.select("dayString", "area").distinct()
         old = (
-            tops.read(spark, batch_id - 1)
-            .join(touched, ["dayString", "area"], "left_semi")
+            tops.read(spark, batch_id - 1, lambda rows: rows.join(touched, ["dayString", "area"], "left_semi"))
             .select("dayString", "area", F.inline("top"))
         )
         candidates = (
             changed.unionByName(old).groupBy("dayString", "area", "adsId").agg(F.max("n").alias("n"))
         )
         tops.write(A.nest_top(A.rank_ads(candidates, k)), batch_id)
-        hashes.write(A.top_hash(tops.batch(spark, batch_id)), batch_id)
 
     return _start(_running_counts(ads, watermark), folder, on_batch, trigger)
 
@@ -129,6 +123,11 @@ def read_top3(spark: SparkSession, folder: str) -> DataFrame:
     ).select("dayString", "area", "ad.adsId", "ad.n", (F.col("place") + 1).alias("rank"))
 
 
+def read_top3_hash(spark: SparkSession, folder: str) -> DataFrame:
+    """The daily top rows as hash entries."""
+    return A.top_hash(top_table(folder).read(spark))
+
+
 # --- the last hour -----------------------------------------------------------------------------
 
 
@@ -136,9 +135,9 @@ def minutes_table(folder: str) -> BatchTable:
     return BatchTable(f"{folder}/minutes", "adsId string, minute timestamp, hmString string, n bigint", None)
 
 
-def last_hour_table(folder: str) -> BatchTable:
-    """Rewritten whole by every batch, so ads without a click in the hour vanish."""
-    return BatchTable(f"{folder}/last_hour", KEY_VALUE, None)
+def read_last_hour_hash(spark: SparkSession, folder: str) -> DataFrame:
+    """The last hour as hash entries; every batch renews it, so ads without a click in the hour vanish."""
+    return A.minutes_hash(minutes_table(folder).read(spark))
 
 
 def start_last_hour(
@@ -148,7 +147,7 @@ def start_last_hour(
     minutes: int = 60,
     slide_seconds: int = 5,
 ) -> StreamingQuery:
-    """Clicks per ad and minute in the last hour; keeps ``minutes_table`` and ``last_hour_table``.
+    """Clicks per ad and minute in the last hour; keeps ``minutes_table``.
 
     Counts are kept per slide-sized pane rather than per overlapping window, so a click updates one
     counter. The hour is measured in event time up to the newest click seen. The watermark equals
@@ -164,7 +163,7 @@ def start_last_hour(
     panes = BatchTable(
         f"{folder}/panes", "adsId string, pane bigint, n bigint", ["adsId", "pane"], keep=in_hour
     )
-    by_minute, result = minutes_table(folder), last_hour_table(folder)
+    by_minute = minutes_table(folder)
 
     def on_batch(changes: DataFrame, batch_id: int) -> None:
         spark = changes.sparkSession
@@ -182,7 +181,6 @@ def start_last_hour(
             .agg(F.sum("n").alias("n"))
         )
         by_minute.write(recent, batch_id)
-        result.write(A.minutes_hash(by_minute.batch(spark, batch_id)), batch_id)
 
     counted = (
         ads.withWatermark("timestamp", f"{minutes} minutes")
@@ -255,14 +253,20 @@ def start_blacklist_loop(
             first, last = clicks.agg(F.min("dayString"), F.max("dayString")).first()
             # Lets the table scans skip the other days.
             of_batch = F.col("dayString").between(F.lit(first), F.lit(last))
-            listed = blacklist.read(spark, batch_id - 1).where(of_batch)
+            users = clicks.select(*A.USER_DAY).distinct()
+            listed = blacklist.read(
+                spark, batch_id - 1, lambda rows: rows.where(of_batch).join(users, A.USER_DAY, "left_semi")
+            )
             target = f"{folder}/passed/batch_id={batch_id}"
             A.drop_blacklisted(clicks, listed).write.mode("overwrite").parquet(target)
         finally:
             clicks.unpersist()
         passed = spark.read.schema(ADS_INFO).parquet(target)
         delta = passed.groupBy(*keys).agg(F.count("*").alias("more"))
-        before = counts.read(spark, batch_id - 1).where(of_batch)
+        touched = passed.select(*keys).distinct()
+        before = counts.read(
+            spark, batch_id - 1, lambda rows: rows.where(of_batch).join(touched, keys, "left_semi")
+        )
         total = F.col("more") + F.coalesce("n", F.lit(0))
         counts.write(delta.join(before, keys, "left").select(*keys, total.alias("n")), batch_id)
         reached = counts.batch(spark, batch_id).where(F.col("n") >= min_clicks)

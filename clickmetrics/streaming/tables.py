@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -29,11 +29,10 @@ class BatchTable:
         schema: str,
         keys: list[str] | None,
         fold_every: int = 50,
-        files: int | None = None,
         keep: Callable[[DataFrame], DataFrame] | None = None,
     ):
         self.path, self.schema, self.keys = path, schema, keys
-        self.fold_every, self.files, self.keep = fold_every, files, keep
+        self.fold_every, self.keep = fold_every, keep
 
     def write(self, changes: DataFrame, batch_id: int) -> None:
         spark = changes.sparkSession
@@ -47,14 +46,22 @@ class BatchTable:
             _delete(spark, f"{self.path}/epoch={old}")
         self._save(changes, epoch, batch_id)
 
-    def read(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
-        """The table as of batch ``upto``, by default the newest finished batch."""
+    def read(
+        self,
+        spark: SparkSession,
+        upto: int | None = None,
+        only: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    ) -> DataFrame:
+        """The table as of batch ``upto``, by default the newest finished batch.
+
+        ``only`` picks keys, before versions are compared: what it drops is not shuffled.
+        """
         upto = self.last_batch(spark) if upto is None else upto
         epochs = [e for e in self._epochs(spark) if e * self.fold_every <= upto]
         if not epochs:
-            return spark.createDataFrame([], self.schema)
+            return only(spark.createDataFrame([], self.schema))
         if not self.keys:
-            return self.batch(spark, upto)
+            return only(self.batch(spark, upto))
         base = f"{self.path}/epoch={max(epochs)}"
         rows = (
             spark.read.schema(f"{self.schema}, {BATCH} bigint")
@@ -62,12 +69,10 @@ class BatchTable:
             .parquet(base)
             .where(F.col(BATCH) <= upto)
         )
-        newest = Window.partitionBy(*self.keys).orderBy(F.desc(BATCH))
-        return (
-            rows.withColumn("_version", F.row_number().over(newest))
-            .where("_version = 1")
-            .drop("_version", BATCH)
-        )
+        names = StructType.fromDDL(self.schema).names
+        newest = [F.max_by(c, BATCH).alias(c) for c in names if c not in self.keys]
+        versions = only(rows).groupBy(*self.keys)
+        return versions.agg(*newest).select(*names) if newest else only(rows).select(*names).distinct()
 
     def batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """Only what batch ``batch_id`` wrote."""
@@ -84,9 +89,9 @@ class BatchTable:
 
     def _save(self, rows: DataFrame, epoch: int, batch_id: int) -> None:
         rows = rows.select(*StructType.fromDDL(self.schema).names)
-        # Far fewer files than shuffle partitions, but growing with the cluster's setting.
-        files = self.files or max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 25)
-        _write(rows.repartition(files, *rows.columns), self._folder(epoch, batch_id))
+        if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+            rows = rows.hint("rebalance")  # as many writers as the batch's size asks for
+        _write(rows, self._folder(epoch, batch_id))
 
     def _save_folded(self, rows: DataFrame, epoch: int) -> None:
         # Clustered by key, so a filter on the first key skips files.

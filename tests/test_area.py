@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from clickmetrics.operators import area
 from clickmetrics.plans.area_sql import area_top3_sql, register_views
 from tests.rows import actions, found
@@ -54,7 +56,19 @@ def test_equal_names_merge_and_the_no_click_mark_may_match(spark):
 def test_sql_report_equals_dataframe_report(spark):
     df, products, cities = inputs(spark)
     register_views(spark, user_visit_action=df, product_info=products, city_info=cities)
-    assert found(area_top3_sql(spark)) == found(area.area_product_top(area.area_product_counts(df, products, cities)))
+    expected = found(area.area_product_top(area.area_product_counts(df, products, cities)))
+    assert found(area_top3_sql(spark)) == expected
+    assert found(area.area_product_report(df, products, cities)) == expected
+
+
+def test_tied_products_of_one_area_do_not_meet_in_one_task(spark):
+    counts = spark.range(0, 100_000, 1, 16).selectExpr(
+        "CASE WHEN id % 10 = 0 THEN 'B' END AS area", "concat('p', id) AS product_name", "7L AS click_count"
+    )
+    top = area.area_product_top(counts)
+    per_task = top.groupBy(F.spark_partition_id().alias("task")).count()
+    assert top.count() == 100_000
+    assert per_task.agg({"count": "max"}).first()[0] <= 10_000
 
 
 def test_remark_text_in_sql(spark):

@@ -44,10 +44,10 @@ JOBS = {
         {"watermark": "60 days"},
     ),
     "top3": (jobs.start_area_top3, jobs.read_top3, A.area_top3, {}),
-    "top3 json": (jobs.start_area_top3, lambda spark, f: jobs.hash_table(f).read(spark), A.area_top3_json, {}),
+    "top3 json": (jobs.start_area_top3, jobs.read_top3_hash, A.area_top3_json, {}),
     "last hour": (
         jobs.start_last_hour,
-        lambda spark, f: jobs.last_hour_table(f).read(spark),
+        jobs.read_last_hour_hash,
         functools.partial(A.last_hour_json, minutes=2880),
         {"minutes": 2880},
     ),
@@ -132,11 +132,10 @@ def test_replayed_batch_does_not_count_twice(spark, tmp_path):
 
 def test_top3_follows_growing_counts(spark, tmp_path):
     feed = Feed(spark, tmp_path, jobs.start_area_top3)
-    table = jobs.hash_table(feed.folder)
 
     def send(**per_ad):
         feed.send(*[(DAY, "10:00:00", "N", 1, ad[1:]) for ad, n in per_ad.items() for _ in range(n)])
-        return [r.value for r in table.read(spark).collect()]
+        return [r.value for r in jobs.read_top3_hash(spark, feed.folder).collect()]
 
     assert send(a1=3, a2=2, a3=1) == ['[{"1":3},{"2":2},{"3":1}]']
     assert send(a4=2) == ['[{"1":3},{"2":2},{"4":2}]']
@@ -145,19 +144,18 @@ def test_top3_follows_growing_counts(spark, tmp_path):
 
 def test_stale_ads_leave_the_last_hour(spark, tmp_path):
     feed = Feed(spark, tmp_path, jobs.start_last_hour)
-    table = jobs.last_hour_table(feed.folder)
     feed.send((DAY, "10:00:00", "N", 1, 1), (DAY, "10:30:10", "N", 1, 1), (DAY, "10:30:20", "N", 1, 2))
-    assert found(table.read(spark)) == [
+    assert found(jobs.read_last_hour_hash(spark, feed.folder)) == [
         ("last_hour_click", "1", '[{"10:00":1},{"10:30":1}]'),
         ("last_hour_click", "2", '[{"10:30":1}]'),
     ]
     feed.send((DAY, "11:30:18", "N", 1, 1))
-    assert found(table.read(spark)) == [
+    assert found(jobs.read_last_hour_hash(spark, feed.folder)) == [
         ("last_hour_click", "1", '[{"11:30":1}]'),
         ("last_hour_click", "2", '[{"10:30":1}]'),
     ]
     feed.send((DAY, "12:00:00", "N", 1, 1))
-    assert found(table.read(spark)) == [("last_hour_click", "1", '[{"11:30":1},{"12:00":1}]')]
+    assert found(jobs.read_last_hour_hash(spark, feed.folder)) == [("last_hour_click", "1", '[{"11:30":1},{"12:00":1}]')]
 
 
 def test_late_clicks_still_count(spark, tmp_path):
@@ -165,7 +163,7 @@ def test_late_clicks_still_count(spark, tmp_path):
     feed.send((DAY, "10:30:00", "N", 1, 1))
     feed.send((DAY, "10:31:00", "N", 1, 1))
     feed.send((DAY, "09:45:00", "N", 1, 1))
-    (row,) = found(jobs.last_hour_table(feed.folder).read(spark))
+    (row,) = found(jobs.read_last_hour_hash(spark, feed.folder))
     assert row[2] == '[{"09:45":1},{"10:30":1},{"10:31":1}]'
 
 
