@@ -138,6 +138,15 @@ listed AS (
     SELECT DISTINCT dayString, userId
     FROM (SELECT dayString, userId, adsId FROM ads GROUP BY ALL HAVING count(*) >= 2))"""
 
+# Clicks arrive by quarters of the day; a user is listed at the end of the quarter that reaches 2 clicks on an ad.
+_PASSED = """
+parted AS (SELECT *, hour(timestamp) // 6 AS quarter FROM ads),
+running AS (
+    SELECT dayString, userId, quarter,
+           sum(n) OVER (PARTITION BY dayString, userId, adsId ORDER BY quarter) AS clicks
+    FROM (SELECT dayString, userId, adsId, quarter, count(*) AS n FROM parted GROUP BY ALL)),
+since AS (SELECT dayString, userId, min(quarter) AS listed_in FROM running WHERE clicks >= 2 GROUP BY ALL)"""
+
 _ORDER10 = "ORDER BY clickCount DESC, orderCount DESC, payCount DESC, categoryId LIMIT 10"
 
 _TOP3_JSON = """
@@ -232,4 +241,13 @@ ORACLES: dict[str, str] = {
     "ads_last_hour_json_stream": _ads(_HOUR_JSON),
     "ads_blacklist_build_stream": _ads("SELECT * FROM listed"),
     "ads_blacklist_loop_stream": _ads("SELECT * FROM listed"),
+    "ads_blacklist_passed_stream": _with(
+        _CITY,
+        _ADS,
+        _PASSED,
+        select="""
+        SELECT p.* EXCLUDE (quarter)
+        FROM parted p LEFT JOIN since USING (dayString, userId)
+        WHERE listed_in IS NULL OR quarter <= listed_in""",
+    ),
 }

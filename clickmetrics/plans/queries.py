@@ -12,7 +12,7 @@ from clickmetrics.plans.area_sql import area_top3_sql, register_views
 from clickmetrics.session import work_folder
 from clickmetrics.sources import testtables
 from clickmetrics.sources.actions import action_lines, parse_actions
-from clickmetrics.sources.ads import parse_ads
+from clickmetrics.sources.ads import parse_ads, stream_ads_files
 from clickmetrics.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,20 @@ def _stream(start: Callable, read: Callable[[SparkSession, str], DataFrame], **o
     return query
 
 
+def _passed(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicks that pass the blacklist loop when they arrive by quarters of the day, in four batches."""
+    folder = work_folder(spark, "ads")
+    lines = testtables.ads_log(spark, sf)
+    hour = F.expr("hour(timestamp_millis(CAST(split_part(value, ',', 1) AS bigint)))")
+    for quarter in range(4):
+        lines.where(F.floor(hour / 6) == quarter).write.mode("append").text(f"{folder}/in")
+        clicks = parse_ads(stream_ads_files(spark, f"{folder}/in"))
+        jobs.start_blacklist_loop(
+            clicks, f"{folder}/job", trigger={"availableNow": True}, min_clicks=MIN_CLICKS
+        ).awaitTermination()
+    return jobs.read_passed(spark, f"{folder}/job")
+
+
 def _sessions_as_text(df: DataFrame) -> DataFrame:
     return df.withColumn("sessions", F.to_json("sessions"))
 
@@ -122,4 +136,5 @@ QUERIES: dict[str, Query] = {
     "ads_blacklist_loop_stream": _stream(
         jobs.start_blacklist_loop, lambda spark, f: jobs.blacklist_table(f).read(spark), min_clicks=MIN_CLICKS
     ),
+    "ads_blacklist_passed_stream": _passed,
 }

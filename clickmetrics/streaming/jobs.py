@@ -276,7 +276,10 @@ def start_blacklist_loop(
 
 
 def read_passed(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(ADS_INFO).parquet(f"{folder}/passed").select(*column_names(ADS_INFO))
+    """The clicks that passed, of the batches that finished."""
+    rows = spark.read.schema(f"{ADS_INFO}, batch_id bigint").parquet(f"{folder}/passed")
+    done = blacklist_table(folder).last_batch(spark)
+    return rows.where(F.col("batch_id") <= done).select(*column_names(ADS_INFO))
 
 
 # --- raw rows --------------------------------------------------------------------------------------
