@@ -26,6 +26,22 @@ STREAMS = {
     "ads-blacklist-loop": jobs.start_blacklist_loop,
     "ads-raw": jobs.start_raw_append,
 }
+# Which of a job's arguments can be set; None leaves the job's own default.
+STREAM_OPTIONS = {
+    "ads-daily-counts": {"watermark": str},
+    "ads-top3": {"watermark": str, "k": int},
+    "ads-last-hour": {"minutes": int, "slide_seconds": int},
+    "ads-blacklist": {"watermark": str, "min_clicks": int},
+    "ads-blacklist-loop": {"min_clicks": int},
+    "ads-raw": {},
+}
+OPTION_HELP = {
+    "watermark": "how late clicks may come, as '2 days'; bounds the state",
+    "k": "ads kept per day and area",
+    "minutes": "length of the window",
+    "slide_seconds": "step of the window",
+    "min_clicks": "clicks on one ad in a day that put a user on the list",
+}
 
 
 def _actions(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -40,7 +56,7 @@ def _batch(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.job == "category-top10":
         return TOPS[args.variant](actions, args.n)
     if args.job == "session-top10":
-        return sessions.top_sessions(actions, TOPS[args.variant](actions), args.n)
+        return sessions.top_sessions(actions, TOPS[args.variant](actions, args.categories), args.n)
     return pages.page_conversion(actions, args.flow)
 
 
@@ -67,12 +83,14 @@ def _parser() -> argparse.ArgumentParser:
             job.add_argument("--flow", default="1,2,3,4,5,6")
         else:
             job.add_argument("--variant", choices=TOPS, default="strict")
-            job.add_argument("--n", type=int, default=10)
+            job.add_argument("--n", type=int, default=10, help="rows, or sessions of each category")
+        if name == "session-top10":
+            job.add_argument("--categories", type=int, default=10, help="top categories whose sessions are ranked")
     report = jobs_.add_parser("area-top3")
     report.add_argument("--database", help="catalog database of the three tables")
     report.add_argument("--hive", action="store_true", help="use the configured Hive metastore")
 
-    for name in STREAMS:
+    for name in [*STREAMS, "ads-console"]:
         job = jobs_.add_parser(name)
         source = job.add_mutually_exclusive_group(required=True)
         source.add_argument("--files", help="folder in which files of click lines arrive")
@@ -80,10 +98,13 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--topic", default="ads_log")
         job.add_argument("--starting-offsets", default="latest")
         job.add_argument("--per-batch", type=int, help="most files or Kafka records per batch")
-        job.add_argument("--folder", required=True, help="shared folder for checkpoint and result tables")
-        job.add_argument("--once", action="store_true", help="work through what is there, then stop")
-        if name.startswith("ads-blacklist"):
-            job.add_argument("--min-clicks", type=int, default=1)
+        pace = job.add_mutually_exclusive_group()
+        pace.add_argument("--trigger", help="time between batches, as '5 seconds'")
+        pace.add_argument("--once", action="store_true", help="work through what is there, then stop")
+        if name in STREAMS:
+            job.add_argument("--folder", required=True, help="shared folder for checkpoint and result tables")
+        for option, kind in STREAM_OPTIONS.get(name, {}).items():
+            job.add_argument("--" + option.replace("_", "-"), type=kind, help=OPTION_HELP[option])
     return parser
 
 
@@ -93,11 +114,17 @@ SHOWN = 100
 def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session(f"clickmetrics-{args.job}", hive=getattr(args, "hive", False))
-    if args.job in STREAMS:
-        options = {"min_clicks": args.min_clicks} if "min_clicks" in args else {}
+    if args.job in STREAMS or args.job == "ads-console":
+        options = {k: v for k in STREAM_OPTIONS.get(args.job, {}) if (v := getattr(args, k)) is not None}
         if args.once:
             options["trigger"] = {"availableNow": True}
-        STREAMS[args.job](_clicks(spark, args), args.folder, **options).awaitTermination()
+        elif args.trigger:
+            options["trigger"] = {"processingTime": args.trigger}
+        clicks = _clicks(spark, args)
+        query = (
+            STREAMS[args.job](clicks, args.folder, **options) if args.job in STREAMS else jobs.start_console(clicks, **options)
+        )
+        query.awaitTermination()
         return
     result = _batch(spark, args)
     if args.output:
