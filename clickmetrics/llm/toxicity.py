@@ -145,12 +145,10 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, words:
         some = part if some is None else some.unionByName(part)
     # At most 2 * sample rows.
     texts = documents.select("doc_id", "text").join(F.broadcast(some), "doc_id").where("text IS NOT NULL")
+    # Equal texts tell no more than one of them; all others stay.
+    texts = texts.select("toxic", "text").distinct()
     lists = texts.select("toxic", F.array_distinct(F.split(F.lower("text"), r"\s+")).alias("words"))
-    # Copies and near copies tell no more than one of them: most of these share their lowest word hash.
-    lists = lists.groupBy("toxic", F.array_min(F.transform("words", lambda w: F.xxhash64(w))).alias("family")).agg(
-        F.max("words").alias("words")
-    )
-    lists = keep_files(documents.sparkSession, lists.select("toxic", "words"), "toxic-words")
+    lists = keep_files(documents.sparkSession, lists, "toxic-words")
     sizes = {r["toxic"]: r["count"] for r in lists.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return None
@@ -189,9 +187,10 @@ def _highest(lists: DataFrame, model: Model) -> DataFrame:
     """The decision value of each training text: of its most toxic word."""
 
     def work(batch: pa.RecordBatch) -> list:
-        out = []
-        for words in batch.column(1).to_pylist():
-            out.append(max(model.decide([normal(w) for w in words]).tolist(), default=LOWEST))
+        lists = [[normal(w) for w in words] for words in batch.column(1).to_pylist()]
+        forms = list(set().union(*lists))
+        value = dict(zip(forms, model.decide(forms).tolist()))
+        out = [max((value[w] for w in words), default=LOWEST) for words in lists]
         return [batch.column(0).cast(pa.int32()), pa.array(out, pa.float64())]
 
     return map_batches(lists.select("toxic", "words"), work, "toxic int, value double")

@@ -282,6 +282,22 @@ def test_toxicity(spark, none):
     assert {r.score for r in toxicity.score_documents(docs, labels.where("false")).collect()} == {0.0}
 
 
+def test_toxicity_learns_from_all_texts_that_differ(spark):
+    """A word that all texts share folds none of them, also if its hash is the lowest."""
+    rng = random.Random(4)
+    plain = ["".join(rng.choice("aeiourstln") for _ in range(rng.randrange(2, 8))) for _ in range(200)]
+    hashes = spark.createDataFrame([(w,) for w in [*plain, "blockhead"]], "w string").selectExpr("w", "xxhash64(w) AS h")
+    shared = min((r.h, r.w) for r in hashes.collect() if r.w != "blockhead")[1]
+    rows = []
+    for k in range(200):
+        insult = ["blockhead"] if k % 4 == 0 else []
+        rows.append((k, " ".join([shared, *(rng.choice(plain) for _ in range(30)), *insult])))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(200)], "doc_id bigint, toxic int")
+    got = toxicity.score_documents(docs, labels).where("held_out").collect()
+    assert sum(r.predicted == int(r.doc_id % 4 == 0) for r in got) >= 0.9 * len(got) > 0
+
+
 def test_pipeline(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
