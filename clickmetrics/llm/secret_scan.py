@@ -4,7 +4,8 @@ Known shapes (keyword assignments, access ids, long hexadecimal runs) come first
 token characters is slid over with a window: the counts of its characters are kept up as one enters
 and one leaves, and with them the Shannon entropy, for each character class by its own threshold.
 Windows above it become spans unless an allow-list knows the run (plain words, numbers, UUIDs,
-placeholders, paths) or a known shape has it already. One pass, no shuffle.
+paths). Known shapes and placeholders inside a run are cut out of its spans; what is left of them
+stays, except between two cuts what the allow-list knows. One pass, no shuffle.
 """
 
 from __future__ import annotations
@@ -39,8 +40,9 @@ ALLOWED = re.compile(
     r"[A-Za-z]+([-_/=+][A-Za-z]+)*[-_/=+]*"  # words, paths
     r"|[0-9]+([-_/=+][0-9]+)*"  # numbers, dates
     r"|[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
-    r"|.*(EXAMPLE|example|PLACEHOLDER|placeholder|XXXX|xxxx|0000000|1234567).*"
 )
+# Excuses its own letters, not the run around it.
+PLACEHOLDER = re.compile(r"EXAMPLE|example|PLACEHOLDER|placeholder|X{4,}|x{4,}|0{7,}|1234567(?:890?)?")
 _N_LOG_N = [0.0] + [n * math.log2(n) for n in range(1, WINDOW + 1)]
 
 
@@ -69,6 +71,19 @@ def entropy_spans(run: str, window: int = WINDOW, threshold: float | None = None
     return spans
 
 
+def _free(text: str, start: int, end: int, known: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """Parts of the run from ``start`` to ``end`` beside known spans, placeholders and what the allow-list knows."""
+    cuts = [(a, b) for a, b, _ in known if a < end and start < b]
+    cuts += [m.span() for m in PLACEHOLDER.finditer(text, start, end)]
+    free, at = [], start
+    for a, b in [*sorted(cuts), (end, end)]:
+        part = text[at:a].strip("-_/=+")
+        if part and not ALLOWED.fullmatch(part):
+            free.append((at, a))
+        at = max(at, b)
+    return free
+
+
 def find_secrets(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, kind) by start, then kind; code points, end exclusive. A null text has none."""
     if not text:
@@ -81,10 +96,10 @@ def find_secrets(text: str | None) -> list[tuple[int, int, str]]:
     for m in CANDIDATE.finditer(text):
         if ALLOWED.fullmatch(m[0]):
             continue
-        for a, b in entropy_spans(m[0]):
-            a, b = a + m.start(), b + m.start()
-            if not any(a < end and start < b for start, end, _ in known):
-                found.append((a, b, "entropy"))
+        spans = [(a + m.start(), b + m.start()) for a, b in entropy_spans(m[0])]
+        if spans:
+            free = _free(text, m.start(), m.end(), known)
+            found += [(max(a, c), min(b, d), "entropy") for a, b in spans for c, d in free if a < d and c < b]
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
