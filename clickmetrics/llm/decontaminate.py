@@ -123,9 +123,7 @@ def find_passages(
     columns are not read.
     """
     spark = documents.sparkSession
-    items = benchmark.selectExpr("CAST(item_id AS bigint) AS item_id", "text").where("text IS NOT NULL").distinct()
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    slices = max(1, -(-total // slice_bytes))
+    items, slices = _sliced(benchmark, slice_bytes)
     docs = documents.selectExpr("CAST(doc_id AS bigint) AS doc_id", "text")
     passes = [_one_pass(spark, docs, items, k, slices, window, gram) for k in range(slices)]
     if slices == 1:
@@ -146,6 +144,39 @@ def find_passages(
     )
 
 
+def drop_hits(
+    documents: DataFrame,
+    benchmark: DataFrame,
+    window: int = WINDOW,
+    gram: int = GRAM,
+    slice_bytes: int = SLICE_BYTES,
+) -> DataFrame:
+    """The rows of ``documents`` that hold no passage, with all their columns; each by its own text."""
+    spark = documents.sparkSession
+    items, slices = _sliced(benchmark, slice_bytes)
+    clean, columns = documents, documents.columns
+    for k in range(slices):
+        index = _shared_index(spark, items, k, slices, window, gram)
+
+        def keep(batches, index=index):
+            for batch in batches:
+                raw, offsets = text_bytes(batch.column(batch.num_columns - 1))
+                clear = np.ones(batch.num_rows, bool)
+                for row, _ in index().hits(raw, offsets)[1]:
+                    clear[row] = False
+                yield batch.select(range(batch.num_columns - 1)).filter(pa.array(clear))
+
+        clean = clean.select(*columns, F.col("text").alias("_searched_text")).mapInArrow(keep, documents.schema)
+    return clean
+
+
+def _sliced(benchmark: DataFrame, slice_bytes: int) -> tuple[DataFrame, int]:
+    """The distinct items that have a text, and how many slices they make."""
+    items = benchmark.selectExpr("CAST(item_id AS bigint) AS item_id", "text").where("text IS NOT NULL").distinct()
+    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    return items, max(1, -(-total // slice_bytes))
+
+
 def _summary(found: DataFrame) -> DataFrame:
     names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
     return found.select(
@@ -158,18 +189,28 @@ def _summary(found: DataFrame) -> DataFrame:
     )
 
 
-def _one_pass(spark, docs: DataFrame, items: DataFrame, k: int, slices: int, window: int, gram: int) -> DataFrame:
+def _shared_index(spark, items: DataFrame, k: int, slices: int, window: int, gram: int):
+    """A function that gives tasks the index of slice ``k``, built once for each worker."""
     own = items.where(F.pmod(F.xxhash64("text"), F.lit(slices)) == k) if slices > 1 else items
     # At most about slice_bytes: the total was summed before.
     shared = spark.sparkContext.broadcast([(r.item_id, r.text) for r in own.collect()])
     number = shared._jbroadcast.id()
 
-    def work(batch: pa.RecordBatch) -> list:
+    def index() -> BenchmarkIndex:
         if number not in _indexes:
             _indexes.clear()
             _indexes[number] = BenchmarkIndex(shared.value, window, gram)
+        return _indexes[number]
+
+    return index
+
+
+def _one_pass(spark, docs: DataFrame, items: DataFrame, k: int, slices: int, window: int, gram: int) -> DataFrame:
+    index = _shared_index(spark, items, k, slices, window, gram)
+
+    def work(batch: pa.RecordBatch) -> list:
         raw, offsets = text_bytes(batch.column(1))
-        _, found, hit, first = _indexes[number].hits(raw, offsets)
+        _, found, hit, first = index().hits(raw, offsets)
         hits: list[list[int]] = [[] for _ in range(batch.num_rows)]
         named: list[list[int]] = [[] for _ in range(batch.num_rows)]
         for row, its in found:

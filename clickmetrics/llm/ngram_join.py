@@ -277,6 +277,15 @@ def link_documents(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     whole; null and empty texts are linked with nothing and are their own component. Rows with a null
     doc_id keep their links and get the component of the others, or null if there are none with an id.
     """
+    return link_rows(df, n, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def link_rows(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """As link_documents, with text_key (xxhash64 of the text) and the number of the row's component.
+
+    Components without any doc_id differ in ``component`` too; null for rows that are linked with nothing
+    as they have no words.
+    """
     spark = df.sparkSession
     docs = df.selectExpr("CAST(doc_id AS bigint) AS doc_id", "text")
     frequency = spark.sparkContext.broadcast(gram_frequencies(docs, n))
@@ -360,9 +369,11 @@ def link_documents(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
             tested = tested.unionByName(pairs)
     own = classes.join(labels, "node", "left").select("key", "least", F.coalesce("label", "node").alias("label"))
     lowest = own.groupBy("label").agg(F.min("least").alias("component_id"))
-    placed = own.join(lowest, "label").select("key", "component_id")
+    placed = own.join(lowest, "label").select("key", "label", "component_id")
     return described.join(placed, "key", "left").select(
         "doc_id",
+        "text_key",
+        F.col("label").alias("component"),
         F.col("n").cast("bigint").alias("n_shingles"),
         F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )

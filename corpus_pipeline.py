@@ -1,8 +1,9 @@
 """The corpus pipeline: documents through five stages, each written before the next reads it.
 
 toxicity        drops documents predicted toxic
-ngram_join      keeps, of each group of near copies (five words, 0.8), the row of the smallest doc_id
-decontaminate   drops documents that hold a benchmark passage
+ngram_join      keeps, of each group of near copies (five words, 0.8), the row of the smallest doc_id, nulls last,
+                and of several such the one of the smallest text
+decontaminate   drops rows that hold a benchmark passage
 secrets         replaces secrets in the text; n_chars follows
 pieces          encodes and decodes what is left
 
@@ -26,16 +27,23 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    linked = ngram_join.link_documents(docs, n=5, percent=80)
-    # Of a group stays the row whose id names it; rows without words are no copies of anything.
-    kept = linked.where("doc_id IS NULL OR component_id = doc_id").select("doc_id").distinct()
-    return docs.join(kept, docs.doc_id.eqNullSafe(kept.doc_id), "left_semi").dropDuplicates(["doc_id", "text"])
+    linked = ngram_join.link_rows(docs, n=5, percent=80).select("doc_id", "text_key", "component").distinct()
+    # Of a component stays one row, of the smallest doc_id and then the smallest text; null ids come last.
+    # Rows without words are no copies of anything.
+    least = linked.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
+    kept = linked.join(least, "component", "left").where("component IS NULL OR doc_id <=> least")
+    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("component").alias("_component"))
+    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
+    mine = keyed.join(kept, F.expr("CAST(doc_id AS bigint)").eqNullSafe(F.col("_id")) & (keyed._text_key == kept._key))
+    lone = F.col("_component").isNull()
+    one = mine.groupBy("_component", F.when(lone, F.col("_id")), F.when(lone, F.col("_key"))).agg(
+        F.min_by(F.struct(*docs.columns), F.struct(F.coalesce("text", F.lit("")))).alias("_row")
+    )
+    return one.select("_row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.find_passages(docs, table(spark, sf_dir, "benchmark"))
-    hit = found.where("contaminated").select("doc_id").distinct()
-    return docs.join(hit, docs.doc_id.eqNullSafe(hit.doc_id), "left_anti")
+    return decontaminate.drop_hits(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

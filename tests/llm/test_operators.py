@@ -322,3 +322,36 @@ def test_pipeline(spark):
         assert 0 < after.count() <= docs.count()
         docs = after
     assert corpus_pipeline.STAGES[4][1](spark, docs, sf).count() == docs.count()
+
+
+def _shown(df):
+    return sorted(((r.doc_id, r.text, r.mark) for r in df.collect()), key=repr)
+
+
+def test_stages_decide_by_row(spark, tmp_path):
+    """Null and repeated ids: a row goes for its own text, and of a group one row stays."""
+    rng = random.Random(8)
+    text = lambda n=30: " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * 2 + str(rng.randrange(999)) for _ in range(n))
+    a, b, c, d, e, f = (text() for _ in range(6))
+    passage = text(12)
+    schema = "doc_id bigint, text string, mark string"
+    rows = [
+        (None, a, "r"), (None, a + " more", "r"), (None, a, "r"),  # near copies, none with an id
+        (None, b + " x", "r"), (7, b, "r"), (9, b + " y", "r"),  # with ids
+        (5, c + " q", "r"), (5, c, "r"), (5, d, "r"),  # one id, two groups
+        (None, e, "r"), (None, f, "r"), (None, None, "r"), (None, "", "r"), (6, "", "r"), (6, "", "r"),
+    ]
+    expected = [
+        (None, a, "r"), (7, b, "r"), (5, c, "r"), (5, d, "r"), (None, e, "r"), (None, f, "r"),
+        (None, None, "r"), (None, "", "r"), (6, "", "r"),
+    ]
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    assert _shown(corpus_pipeline.drop_near_copies(spark, docs, "")) == sorted(expected, key=repr)
+
+    bench = spark.createDataFrame([(1, passage), (2, text(12))], "item_id bigint, text string")
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    clean = [(None, a, "r"), (None, b, "s"), (3, c, "r"), (3, c, "s"), (4, None, "r"), (None, None, "r")]
+    docs = spark.createDataFrame([*clean, (None, f"{d} {passage} {e}", "r"), (3, passage, "r")], schema).repartition(3)
+    assert _shown(corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))) == sorted(clean, key=repr)
+    assert _shown(decontaminate.drop_hits(docs, bench, slice_bytes=40)) == sorted(clean, key=repr)
+    assert _shown(decontaminate.drop_hits(docs, bench.where("false"))) == _shown(docs)
