@@ -7,6 +7,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from clickmetrics.llm import (
+    alignment,
     decontaminate,
     exact_topk,
     ngram_join,
@@ -66,7 +67,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentence_pieces, op2_suffix_dedup, op3_decontaminate, op4_ngram_join, op5_secret_scan, op6_toxicity, op7_sharding, op8_exact_topk, op9_token_files, op10_token_counts)}
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sentence_pieces, op2_suffix_dedup, op3_decontaminate, op4_ngram_join, op5_secret_scan, op6_toxicity, op7_sharding, op8_exact_topk, op9_token_files, op10_token_counts, op11_token_alignment)}
 
 ORACLES: dict[str, str] = {
     "op8_exact_topk": """
