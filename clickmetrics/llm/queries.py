@@ -11,6 +11,7 @@ from clickmetrics.llm import (
     decontaminate,
     exact_topk,
     ngram_join,
+    quality,
     secret_scan,
     sentence_pieces,
     sharding,
@@ -71,7 +72,11 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentence_pieces, op2_suffix_dedup, op3_decontaminate, op4_ngram_join, op5_secret_scan, op6_toxicity, op7_sharding, op8_exact_topk, op9_token_files, op10_token_counts, op11_token_alignment)}
+def op12_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sentence_pieces, op2_suffix_dedup, op3_decontaminate, op4_ngram_join, op5_secret_scan, op6_toxicity, op7_sharding, op8_exact_topk, op9_token_files, op10_token_counts, op11_token_alignment, op12_quality_votes)}
 
 ORACLES: dict[str, str] = {
     "op8_exact_topk": """
