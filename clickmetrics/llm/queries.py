@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from clickmetrics.llm import (
     alignment,
+    collocations,
     decontaminate,
     exact_topk,
     ngram_join,
@@ -76,7 +77,11 @@ def op12_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentence_pieces, op2_suffix_dedup, op3_decontaminate, op4_ngram_join, op5_secret_scan, op6_toxicity, op7_sharding, op8_exact_topk, op9_token_files, op10_token_counts, op11_token_alignment, op12_quality_votes)}
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sentence_pieces, op2_suffix_dedup, op3_decontaminate, op4_ngram_join, op5_secret_scan, op6_toxicity, op7_sharding, op8_exact_topk, op9_token_files, op10_token_counts, op11_token_alignment, op12_quality_votes, op13_collocations)}
 
 ORACLES: dict[str, str] = {
     "op8_exact_topk": """
@@ -95,4 +100,38 @@ ranked AS (
            vec_id, score
     FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20""",
+    "op13_collocations": """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                  'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+grams AS (SELECT lang, w, i, unnest(range(1, least(4, len(w) - i + 1) + 1)) AS k FROM starts),
+counts AS (
+    SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM grams GROUP BY ALL HAVING count(*) >= 30),
+candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1),
+inner_starts AS (SELECT lang, a, k, w, unnest(range(1, k + 1)) AS i FROM candidates),
+inside AS (
+    SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS phrase
+    FROM (SELECT *, unnest(range(2, least(k - 1, k - i + 1) + 1)) AS m FROM inner_starts)),
+longer AS (SELECT lang, phrase, max(a) AS most FROM inside GROUP BY ALL),
+kept AS (
+    SELECT c.* FROM candidates c LEFT JOIN longer USING (lang, phrase)
+    WHERE most IS NULL OR CAST(most AS HUGEINT) * 100 < CAST(a AS HUGEINT) * 80),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM kept),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r,
+           CAST(CAST(2000000 AS HUGEINT) * c.a // (CAST(x.f AS HUGEINT) + y.f) AS BIGINT) AS score
+    FROM cuts c
+    JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:cut], ' ')
+    JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[cut + 1:], ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+ranked AS (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, score
+    FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000""",
 }
