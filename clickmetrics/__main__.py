@@ -30,7 +30,7 @@ STREAMS = {
 STREAM_OPTIONS = {
     "ads-daily-counts": {"watermark": str},
     "ads-top3": {"watermark": str, "k": int},
-    "ads-last-hour": {"minutes": int, "slide_seconds": int},
+    "ads-last-hour": {"minutes": int, "slide_seconds": int, "time": str},
     "ads-blacklist": {"watermark": str, "min_clicks": int},
     "ads-blacklist-loop": {"min_clicks": int},
     "ads-raw": {},
@@ -40,6 +40,7 @@ OPTION_HELP = {
     "k": "ads kept per day and area",
     "minutes": "length of the window",
     "slide_seconds": "step of the window",
+    "time": "timestamp: the clicks' own time; arrival: when their lines came in",
     "min_clicks": "clicks on one ad in a day that put a user on the list",
 }
 
@@ -61,11 +62,12 @@ def _batch(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def _clicks(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    arrival = getattr(args, "time", None) == "arrival"
     if args.kafka:
         limit = {"maxOffsetsPerTrigger": str(args.per_batch)} if args.per_batch else {}
-        lines = stream_ads_kafka(spark, args.kafka, args.topic, args.starting_offsets, **limit)
+        lines = stream_ads_kafka(spark, args.kafka, args.topic, args.starting_offsets, arrival, **limit)
     else:
-        lines = stream_ads_files(spark, args.files, args.per_batch)
+        lines = stream_ads_files(spark, args.files, args.per_batch, arrival)
     return parse_ads(lines, args.mode)
 
 
@@ -104,7 +106,8 @@ def _parser() -> argparse.ArgumentParser:
         if name in STREAMS:
             job.add_argument("--folder", required=True, help="shared folder for checkpoint and result tables")
         for option, kind in STREAM_OPTIONS.get(name, {}).items():
-            job.add_argument("--" + option.replace("_", "-"), type=kind, help=OPTION_HELP[option])
+            choices = ["timestamp", "arrival"] if option == "time" else None
+            job.add_argument("--" + option.replace("_", "-"), type=kind, choices=choices, help=OPTION_HELP[option])
     return parser
 
 

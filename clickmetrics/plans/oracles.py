@@ -239,6 +239,10 @@ ORACLES: dict[str, str] = {
     "ads_area_top3_json_stream": _ads(_TOP3_JSON),
     "ads_last_hour_clicks_stream": _ads("SELECT adsId, hmString, n FROM hour_clicks"),
     "ads_last_hour_json_stream": _ads(_HOUR_JSON),
+    # Quarters arrive 25 minutes apart, so the last three are in the hour.
+    "ads_last_hour_arrival_stream": _ads("""
+        SELECT adsId, date_trunc('minute', timestamp) AS minute, count(*) AS n
+        FROM ads WHERE hour(timestamp) >= 6 GROUP BY ALL"""),
     "ads_blacklist_build_stream": _ads("SELECT * FROM listed"),
     "ads_blacklist_loop_stream": _ads("SELECT * FROM listed"),
     "ads_blacklist_passed_stream": _with(

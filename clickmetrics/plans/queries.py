@@ -14,11 +14,14 @@ from clickmetrics.sources import testtables
 from clickmetrics.sources.actions import action_lines, parse_actions
 from clickmetrics.sources.ads import parse_ads, stream_ads_files
 from clickmetrics.streaming import jobs
+from clickmetrics.streaming.tables import stamp_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 FLOW = "1,2,3,4,5,6"
 MIN_CLICKS = 2
+# 2024-01-01 00:00 UTC, in milliseconds.
+FIRST_ARRIVAL = 1_704_067_200_000
 
 
 def _actions(query: Callable[[DataFrame], DataFrame]) -> Query:
@@ -63,6 +66,19 @@ def _passed(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.read_passed(spark, f"{folder}/job")
 
 
+def _arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """The last hour by arrival: a quarter's clicks arrive together, 25 minutes after those of the quarter before."""
+    folder = work_folder(spark, "ads")
+    lines = testtables.ads_log(spark, sf)
+    hour = F.expr("hour(timestamp_millis(CAST(split_part(value, ',', 1) AS bigint)))")
+    for quarter in range(4):
+        lines.where(F.floor(hour / 6) == quarter).write.text(f"{folder}/in/{quarter}")
+        stamp_files(spark, f"{folder}/in/{quarter}", FIRST_ARRIVAL + quarter * 25 * 60_000)
+        clicks = parse_ads(stream_ads_files(spark, f"{folder}/in/*", arrival=True))
+        jobs.start_last_hour(clicks, f"{folder}/job", trigger={"availableNow": True}, time="arrival").awaitTermination()
+    return jobs.read_last_hour(spark, f"{folder}/job").select("adsId", "minute", "n")
+
+
 def _sessions_as_text(df: DataFrame) -> DataFrame:
     return df.withColumn("sessions", F.to_json("sessions"))
 
@@ -125,11 +141,12 @@ QUERIES: dict[str, Query] = {
     ),
     "ads_last_hour_clicks_stream": _stream(
         jobs.start_last_hour,
-        lambda spark, f: jobs.minutes_table(f).read(spark).select("adsId", "hmString", "n"),
+        lambda spark, f: jobs.read_last_hour(spark, f).select("adsId", "hmString", "n"),
     ),
     "ads_last_hour_json_stream": _stream(
         jobs.start_last_hour, jobs.read_last_hour_hash
     ),
+    "ads_last_hour_arrival_stream": _arrivals,
     "ads_blacklist_build_stream": _stream(
         jobs.start_blacklist, lambda spark, f: jobs.blacklist_table(f).read(spark), min_clicks=MIN_CLICKS
     ),

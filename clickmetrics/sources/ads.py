@@ -12,15 +12,19 @@ def parse_ads(lines: DataFrame, mode: str = "strict") -> DataFrame:
     """``ts_ms,area,city,user,ad`` lines -> the 8 ad-click columns; batch and stream alike.
 
     ``strict`` fails on a short line or a bad time, whichever columns are read later; ``permissive``
-    drops it.
+    drops it. A column ``arrival`` of the lines is taken along.
     """
     if mode not in ("strict", "permissive"):
         raise ValueError(f"unknown mode: {mode}")
     # An empty last field counts as missing, so commas at the end are cut first.
-    parts = lines.select("value", F.split(F.rtrim("value", F.lit(",")), ",").alias("p"))
+    arrival = [c for c in lines.columns if c == "arrival"]
+    parts = lines.select("value", *arrival, F.split(F.rtrim("value", F.lit(",")), ",").alias("p"))
     names = ["ts", "area", "city", "userId", "adsId"]
     raw = parts.selectExpr(
-        "value", "try_cast(get(p, 0) AS bigint) AS ts", *[f"get(p, {i}) AS {c}" for i, c in enumerate(names) if i]
+        "value",
+        *arrival,
+        "try_cast(get(p, 0) AS bigint) AS ts",
+        *[f"get(p, {i}) AS {c}" for i, c in enumerate(names) if i],
     )
     raw = fail_on_missing(raw, names) if mode == "strict" else raw.dropna(subset=names)
     return raw.selectExpr(
@@ -32,6 +36,7 @@ def parse_ads(lines: DataFrame, mode: str = "strict") -> DataFrame:
         "city",
         "userId",
         "adsId",
+        *arrival,
     )
 
 
@@ -39,12 +44,15 @@ def read_ads_text(spark: SparkSession, path: str, mode: str = "strict") -> DataF
     return parse_ads(spark.read.text(path), mode)
 
 
-def stream_ads_files(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
-    """Lines of text files that arrive in a folder."""
+def stream_ads_files(
+    spark: SparkSession, path: str, files_per_batch: int | None = None, arrival: bool = False
+) -> DataFrame:
+    """Lines of text files that arrive in a folder; with ``arrival``, when their file was written."""
     reader = spark.readStream.format("text")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.load(path)
+    lines = reader.load(path)
+    return lines.select("value", F.col("_metadata.file_modification_time").alias("arrival")) if arrival else lines
 
 
 def stream_ads_kafka(
@@ -52,9 +60,10 @@ def stream_ads_kafka(
     servers: str,
     topic: str = "ads_log",
     starting_offsets: str = "latest",
+    arrival: bool = False,
     **options: str,
 ) -> DataFrame:
-    """Lines of a Kafka topic (needs the spark-sql-kafka package on the class path).
+    """Lines of a Kafka topic (needs the spark-sql-kafka package on the class path); with ``arrival``, their timestamp.
 
     Offsets are kept in the query's checkpoint. Further source options, such as
     ``maxOffsetsPerTrigger`` or ``kafka.group.id``, go through ``options``.
@@ -67,4 +76,5 @@ def stream_ads_kafka(
     )
     for key, value in options.items():
         reader = reader.option(key, value)
-    return reader.load().select(F.col("value").cast("string").alias("value"))
+    lines = reader.load().select(F.col("value").cast("string").alias("value"), F.col("timestamp").alias("arrival"))
+    return lines if arrival else lines.select("value")

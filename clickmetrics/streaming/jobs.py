@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from clickmetrics.operators import ads as A
 from clickmetrics.schemas import ADS_INFO, column_names
-from clickmetrics.streaming.tables import BatchTable
+from clickmetrics.streaming.tables import BatchTable, KeyedTable, PaneStore, values_of
 
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
 EVERY_10_SECONDS = {"processingTime": "10 seconds"}
@@ -44,15 +44,16 @@ def _start(
 COUNTS = "dayString string, area string, adsId string, n bigint"
 
 
-def counts_table(folder: str) -> BatchTable:
-    return BatchTable(f"{folder}/counts", COUNTS, ["dayString", "area", "adsId"])
+def counts_table(folder: str) -> KeyedTable:
+    return KeyedTable(f"{folder}/counts", COUNTS, ["dayString", "area", "adsId"], by="dayString")
 
 
-def top_table(folder: str) -> BatchTable:
-    return BatchTable(
+def top_table(folder: str) -> KeyedTable:
+    return KeyedTable(
         f"{folder}/top",
         "dayString string, area string, top array<struct<adsId: string, n: bigint>>",
         ["dayString", "area"],
+        by="dayString",
     )
 
 
@@ -94,7 +95,7 @@ def start_area_top3(
     its total. A batch therefore ranks its changed totals together with the old top k of the
     (day, area) groups it touched, and never reads all totals.
     """
-    changed_totals = BatchTable(f"{folder}/changed", COUNTS, None)
+    changed_totals = BatchTable(f"{folder}/changed", COUNTS)
     tops = top_table(folder)
 
     def on_batch(changes: DataFrame, batch_id: int) -> None:
@@ -103,10 +104,10 @@ def start_area_top3(
         changed = changed_totals.batch(spark, batch_id)
         if changed.isEmpty():
             return
-        touched = changed.select("dayString", "area").distinct()
-        old = (
-            tops.read(spark, batch_id - 1, lambda rows: rows.join(touched, ["dayString", "area"], "left_semi"))
-            .select("dayString", "area", F.inline("top"))
+        group = ["dayString", "area"]
+        touched, of_days = changed.select(*group).distinct(), values_of(changed, "dayString")
+        old = tops.read(spark, batch_id - 1, lambda rows: rows.where(of_days).join(touched, group, "left_semi")).select(
+            *group, F.inline("top")
         )
         candidates = (
             changed.unionByName(old).groupBy("dayString", "area", "adsId").agg(F.max("n").alias("n"))
@@ -131,13 +132,55 @@ def read_top3_hash(spark: SparkSession, folder: str) -> DataFrame:
 # --- the last hour -----------------------------------------------------------------------------
 
 
-def minutes_table(folder: str) -> BatchTable:
-    return BatchTable(f"{folder}/minutes", "adsId string, minute timestamp, hmString string, n bigint", None)
+HOUR = "day bigint, adsId string, minute bigint, newest bigint, n bigint"
+HOUR_KEYS = ["day", "adsId", "minute"]
+PANES = "adsId string, minute bigint, pane bigint, n bigint"
+
+
+class HourTables:
+    """What the hour's job keeps: the newest pane, counts by pane while they can expire, counts by minute."""
+
+    def __init__(self, folder: str, minutes: int = 60, slide_seconds: int = 5) -> None:
+        self.minutes, self.slide_seconds = minutes, slide_seconds
+        self.clock = BatchTable(f"{folder}/clock", "newest bigint, start bigint")
+        self.panes = PaneStore(f"{folder}/panes", PANES, "pane")
+        self.counts = KeyedTable(f"{folder}/minutes", HOUR, HOUR_KEYS, by="day", keep=self._alive_at)
+
+    def start(self, newest: int) -> int:
+        """First millisecond of the window whose last slide holds ``newest``; see ``operators.ads.hour_start``."""
+        slide = self.slide_seconds * 1000
+        return newest - newest % slide + slide - self.minutes * 60_000
+
+    def time(self, spark: SparkSession, upto: int | None = None) -> tuple[int, int] | None:
+        """(newest pane, window start) as of a batch; None before the first click."""
+        return next(iter(map(tuple, self.clock.read(spark, upto).collect())), None)
+
+    def _alive_at(self, rows: DataFrame, batch_id: int) -> DataFrame:
+        """Rows with clicks in the hour as batch ``batch_id`` finds it.
+
+        A minute whose newest pane is gone has no clicks left, and its older versions have older panes.
+        """
+        time = self.time(rows.sparkSession, batch_id - 1)
+        return rows.where(F.col("newest") >= time[1]) if time else rows
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        last = self.clock.last_batch(spark)
+        return self._alive_at(self.counts.read(spark, last), last + 1).select(
+            "adsId",
+            F.timestamp_millis("minute").alias("minute"),
+            F.date_format(F.timestamp_millis("minute"), "HH:mm").alias("hmString"),
+            "n",
+        )
+
+
+def read_last_hour(spark: SparkSession, folder: str) -> DataFrame:
+    """Clicks per ad and minute in the hour: (adsId, minute, hmString, n)."""
+    return HourTables(folder).read(spark)
 
 
 def read_last_hour_hash(spark: SparkSession, folder: str) -> DataFrame:
-    """The last hour as hash entries; every batch renews it, so ads without a click in the hour vanish."""
-    return A.minutes_hash(minutes_table(folder).read(spark))
+    """The last hour as hash entries; ads without a click in the hour are not in it."""
+    return A.minutes_hash(read_last_hour(spark, folder))
 
 
 def start_last_hour(
@@ -146,56 +189,76 @@ def start_last_hour(
     trigger: dict = EVERY_5_SECONDS,
     minutes: int = 60,
     slide_seconds: int = 5,
+    time: str = "timestamp",
 ) -> StreamingQuery:
-    """Clicks per ad and minute in the last hour; keeps ``minutes_table``.
+    """Clicks per ad and minute in the last hour; ``read_last_hour`` reads them.
 
-    Counts are kept per slide-sized pane rather than per overlapping window, so a click updates one
-    counter. The hour is measured in event time up to the newest click seen. The watermark equals
-    the hour: what it drops lies before the hour and could not show up any more.
+    ``time`` is the axis on which the hour is measured, up to the newest value seen: ``timestamp``
+    takes the clicks' own time, ``arrival`` (see ``sources.ads``) when the lines came in. Minutes
+    are always the clicks' own.
+
+    Counts are kept per slide-sized pane. A batch adds the clicks it brings to the minutes they
+    belong to, and takes off the panes that fell out of the hour since the batch before; it opens
+    the files of those panes, and of the counts those of the days that change, not the hour's panes. Panes older than that
+    are removed. The stream is stateless: what a batch reads was written by earlier batch ids, so a
+    replayed batch gives the same tables.
     """
+    tables = HourTables(folder, minutes, slide_seconds)
+    changed = BatchTable(f"{folder}/changed", PANES)
+    slide = slide_seconds * 1000
 
-    def in_hour(panes: DataFrame) -> DataFrame:
-        newest = panes.agg(F.max("pane").alias("newest")).select(
-            A.hour_start(F.col("newest"), minutes, slide_seconds)
+    def on_batch(clicks: DataFrame, batch_id: int) -> None:
+        spark = clicks.sparkSession
+        at = F.unix_millis(time)
+        changed.write(
+            clicks.groupBy(
+                "adsId",
+                F.unix_millis(F.date_trunc("minute", "timestamp")).alias("minute"),
+                (at - F.pmod(at, F.lit(slide))).alias("pane"),
+            ).agg(F.count("*").alias("n")),
+            batch_id,
         )
-        return panes.where(F.col("pane") >= newest.scalar())
-
-    panes = BatchTable(
-        f"{folder}/panes", "adsId string, pane bigint, n bigint", ["adsId", "pane"], keep=in_hour
-    )
-    by_minute = minutes_table(folder)
-
-    def on_batch(changes: DataFrame, batch_id: int) -> None:
-        spark = changes.sparkSession
-        panes.write(changes, batch_id)
-        if panes.batch(spark, batch_id).isEmpty():
+        panes = changed.batch(spark, batch_id)
+        seen = panes.agg(F.max("pane")).first()[0]
+        if seen is None:
             return
-        time = F.timestamp_millis("pane")
-        recent = (
-            in_hour(panes.read(spark, batch_id))
-            .groupBy(
-                "adsId",
-                F.date_trunc("minute", time).alias("minute"),
-                F.date_format(time, "HH:mm").alias("hmString"),
+        before = tables.time(spark, batch_id - 1)
+        newest = max(seen, before[0]) if before else seen
+        start = tables.start(newest)
+        fresh = panes.where(F.col("pane") >= start)
+        tables.panes.write(fresh, batch_id)
+        day = F.floor(F.col("minute") / 86_400_000).cast("bigint").alias("day")
+        moves = fresh.select(day, "adsId", "minute", "n", F.col("pane").alias("newest"))
+        if before:
+            gone = tables.panes.read(spark, before[1], min(start - 1, before[0]), batch_id)
+            gone = gone.select(day, "adsId", "minute", (-F.col("n")).alias("n"), F.lit(None).alias("newest"))
+            moves = moves.unionByName(gone)
+        moves = moves.groupBy(*HOUR_KEYS).agg(F.sum("n").alias("more"), F.max("newest").alias("latest")).persist()
+        try:
+            of_days, touched = values_of(moves, "day"), moves.select(*HOUR_KEYS)
+            alive = F.col("newest") >= (before[1] if before else start)
+            old = tables.counts.read(
+                spark,
+                batch_id - 1,
+                lambda rows: rows.where(of_days & alive).join(touched, HOUR_KEYS, "left_semi"),
             )
-            .agg(F.sum("n").alias("n"))
-        )
-        by_minute.write(recent, batch_id)
+            total = (F.col("more") + F.coalesce("n", F.lit(0))).alias("n")
+            both = moves.join(old, HOUR_KEYS, "left")
+            tables.counts.write(both.select(*HOUR_KEYS, F.greatest("newest", "latest").alias("newest"), total), batch_id)
+        finally:
+            moves.unpersist()
+        tables.clock.write(spark.createDataFrame([(newest, start)], tables.clock.schema), batch_id)
+        if before:
+            tables.panes.drop_before(spark, before[1])
 
-    counted = (
-        ads.withWatermark("timestamp", f"{minutes} minutes")
-        .groupBy(F.window("timestamp", f"{slide_seconds} seconds").alias("w"), "adsId")
-        .agg(F.count("*").alias("n"))
-        .select("adsId", F.unix_millis("w.start").alias("pane"), "n")
-    )
-    return _start(counted, folder, on_batch, trigger)
+    return _start(ads, folder, on_batch, trigger, mode="append")
 
 
 # --- the blacklist -------------------------------------------------------------------------------
 
 
-def blacklist_table(folder: str) -> BatchTable:
-    return BatchTable(f"{folder}/blacklist", "dayString string, userId string", A.USER_DAY)
+def blacklist_table(folder: str) -> KeyedTable:
+    return KeyedTable(f"{folder}/blacklist", "dayString string, userId string", A.USER_DAY, by="dayString")
 
 
 def start_blacklist(
@@ -225,11 +288,12 @@ def start_blacklist(
     return _start(listed, folder, on_batch, trigger)
 
 
-def user_counts_table(folder: str) -> BatchTable:
-    return BatchTable(
+def user_counts_table(folder: str) -> KeyedTable:
+    return KeyedTable(
         f"{folder}/user_counts",
         "dayString string, userId string, adsId string, n bigint",
         [*A.USER_DAY, "adsId"],
+        by="dayString",
     )
 
 
@@ -250,9 +314,8 @@ def start_blacklist_loop(
         spark = clicks.sparkSession
         clicks.persist()
         try:
-            first, last = clicks.agg(F.min("dayString"), F.max("dayString")).first()
             # Lets the table scans skip the other days.
-            of_batch = F.col("dayString").between(F.lit(first), F.lit(last))
+            of_batch = values_of(clicks, "dayString")
             users = clicks.select(*A.USER_DAY).distinct()
             listed = blacklist.read(
                 spark, batch_id - 1, lambda rows: rows.where(of_batch).join(users, A.USER_DAY, "left_semi")
