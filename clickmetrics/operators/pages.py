@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from itertools import zip_longest
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,42 +38,42 @@ def _flow_steps(flow: str) -> list[tuple[int, int]]:
     return sorted({(a, b) for a, b in zip(pages, pages[1:]) if a is not None and b is not None})
 
 
-def _kept(next_page: str, steps: list[tuple[int, int]]) -> Column:
-    """The next page where the step belongs to the flow, else NULL."""
-    if not steps:
-        return F.lit(None).cast("bigint")
-    wanted = ", ".join(f"({a}L, {b}L)" for a, b in steps)
-    return F.expr(f"CASE WHEN (page_id, {next_page}) IN ({wanted}) THEN {next_page} END")
-
-
-def _follow(actions: DataFrame, prefixes: tuple[int, ...]) -> DataFrame:
-    """(page_id, following, copies): the page after each distinct (session, time, page).
+def _summaries(actions: DataFrame, steps: list[tuple[int, int]], prefixes: tuple[int, ...]) -> DataFrame:
+    """One row with how often each step was made (s0, s1, ...) and each source page was seen (v0, v1, ...).
 
-    Equal rows are first folded into one with a count. The order is then taken inside slices of a
-    session, a slice being one prefix of the action_time text; a prefix never reorders texts. Only
-    the first and last row of a slice go on, to the slices of the next, shorter prefix and at last
-    to the session, so no task gets more of a long session than one slice of it.
+    Rows are placed once, by session and the finest slice of it, a slice being a prefix of the
+    action_time text; a prefix never reorders texts. Steps inside a slice are counted there, and the
+    slice goes on as a summary: its first and last row and its counts. Summaries merge in time order
+    into those of the next, shorter prefix and at last of the session, a merge adding the step from
+    the last row of one to the first of the next. So all rows are shuffled once, and no task gets
+    more of a long session than one slice of it.
     """
-    rows = actions.groupBy("session_id", "action_time", "page_id").agg(F.count("*").alias("copies"))
-    inside = []
-    for length in prefixes:
-        in_slice = Window.partitionBy("session_id", F.substring("action_time", 1, length)).orderBy(
-            "action_time", "page_id"
-        )
-        linked = rows.select(
-            *rows.columns,
-            F.lead("page_id").over(in_slice).alias("following"),
-            (F.row_number().over(in_slice) == 1).alias("opens"),
-            F.lead(F.lit(True)).over(in_slice).isNull().alias("closes"),
-        )
-        # A row that opens a slice and has a follower in it is linked here, and is only a neighbour
-        # from here on; copies of 0 mark that.
-        inside.append(linked.where(~F.col("closes")).select("page_id", "following", "copies"))
-        copies = F.when(F.col("closes"), F.col("copies")).otherwise(0).alias("copies")
-        rows = linked.where(F.col("opens") | F.col("closes")).select("session_id", "action_time", "page_id", copies)
-    in_session = Window.partitionBy("session_id").orderBy("action_time", "page_id")
-    between = rows.select("page_id", F.lead("page_id").over(in_session).alias("following"), "copies")
-    return reduce(DataFrame.unionByName, inside, between).where(F.col("copies") > 0)
+    sources = sorted({a for a, _ in steps})
+    names = [*(f"s{k}" for k in range(len(steps))), *(f"v{k}" for k in range(len(sources)))]
+
+    def made(page: Column, following: Column) -> list[Column]:
+        return [F.count_if((page == a) & (following == b)) for a, b in steps]
+
+    row = F.struct("action_time", "page_id")
+    rows = actions.select("session_id", row.alias("first"), row.alias("last"))
+    for level, length in enumerate([*prefixes, None]):
+        if length is None:
+            key, placed = ["session_id"], rows
+        else:
+            key = ["session_id", "slice"]
+            placed = rows.withColumn("slice", F.substring("first.action_time", 1, length))
+            placed = placed if level else placed.repartition(*key)
+        in_slice = Window.partitionBy(*key).orderBy("first")
+        linked = placed.withColumn("following", F.lead("first.page_id").over(in_slice))
+        counts = made(F.col("last.page_id"), F.col("following"))
+        if level:
+            counts = [F.sum(n) + c if n.startswith("s") else F.sum(n) for n, c in zip_longest(names, counts)]
+        else:
+            counts += [F.count_if(F.col("first.page_id") == page) for page in sources]
+        counts = [c.alias(n) for n, c in zip(names, counts)]
+        ends = [] if length is None else [F.min("first").alias("first"), F.max("last").alias("last")]
+        rows = (linked.groupBy(*key) if ends else linked.groupBy()).agg(*ends, *counts)
+    return rows
 
 
 def page_steps(actions: DataFrame, flow: str, prefixes: tuple[int, ...] = PREFIXES) -> DataFrame:
@@ -84,23 +84,13 @@ def page_steps(actions: DataFrame, flow: str, prefixes: tuple[int, ...] = PREFIX
     number of visits of the page, so one tally yields both sides of the rate.
     """
     steps = _flow_steps(flow)
-    return (
-        _follow(actions, prefixes)
-        .where(F.col("page_id").isin(*{a for a, _ in steps}))
-        .groupBy("page_id", _kept("following", steps).alias("next_page"))
-        .agg(F.count("*").alias("moves"), F.sum(F.col("copies") - 1).alias("repeats"))
-        .select(
-            "page_id",
-            F.inline(
-                F.array(
-                    F.struct("next_page", F.col("moves").alias("n")),
-                    F.struct(_kept("page_id", steps).alias("next_page"), F.col("repeats").alias("n")),
-                )
-            ),
-        )
-        .groupBy("page_id", "next_page")
-        .agg(F.sum("n").alias("n"))
-    )
+    if not steps:
+        return actions.sparkSession.createDataFrame([], "page_id bigint, next_page bigint, n bigint")
+    tally = [f"struct({a}L AS page_id, {b}L AS next_page, s{k} AS n)" for k, (a, b) in enumerate(steps)]
+    for k, page in enumerate(sorted({a for a, _ in steps})):
+        on = " - ".join([f"v{k}", *(f"s{i}" for i, (a, _) in enumerate(steps) if a == page)])
+        tally.append(f"struct({page}L AS page_id, CAST(NULL AS bigint) AS next_page, {on} AS n)")
+    return _summaries(actions, steps, prefixes).selectExpr(f"inline(array({', '.join(tally)}))").where("n > 0")
 
 
 def _jump() -> Column:
