@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickmetrics.sources.actions import fail_on_missing
+from clickmetrics.sources.actions import fail_on_missing, split_once
 
 
 def parse_ads(lines: DataFrame, mode: str = "strict") -> DataFrame:
@@ -18,7 +18,7 @@ def parse_ads(lines: DataFrame, mode: str = "strict") -> DataFrame:
         raise ValueError(f"unknown mode: {mode}")
     # An empty last field counts as missing, so commas at the end are cut first.
     arrival = [c for c in lines.columns if c == "arrival"]
-    parts = lines.select("value", *arrival, F.split(F.rtrim("value", F.lit(",")), ",").alias("p"))
+    parts = split_once(lines.select("value", *arrival), F.split(F.rtrim("value", F.lit(",")), ","))
     names = ["ts", "area", "city", "userId", "adsId"]
     raw = parts.selectExpr(
         "value",

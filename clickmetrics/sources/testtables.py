@@ -28,8 +28,9 @@ def _if_click(value: str) -> str:
 
 
 def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    products = max(1, _table(spark, sf_dir, "part").count())
+    products = _table(spark, sf_dir, "part").agg(F.greatest(F.lit(1), F.count("*"))).scalar()
     events = _table(spark, sf_dir, "events").selectExpr("*", "CAST(get_json_object(props, '$.k') AS bigint) AS k")
+    events = events.withColumn("products", products)
     return events.selectExpr(
         "date_format(ts, 'yyyy-MM-dd') AS date",
         "user_id",
@@ -38,11 +39,11 @@ def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
         "date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS') AS action_time",
         "'null' AS search_keyword",
         f"{_if_click('k % 20')} AS click_category_id",
-        f"{_if_click(f'event_id % {products}')} AS click_product_id",
+        f"{_if_click('event_id % products')} AS click_product_id",
         f"{_ids(_ORDER, 'k % 20', '(k + 7) % 20')} AS order_category_ids",
-        f"{_ids(_ORDER, f'event_id % {products}', f'(event_id + 7) % {products}')} AS order_product_ids",
+        f"{_ids(_ORDER, 'event_id % products', '(event_id + 7) % products')} AS order_product_ids",
         f"{_ids(_PAY, 'k % 18', '(k + 5) % 18')} AS pay_category_ids",
-        f"{_ids(_PAY, f'event_id % {products}', f'(event_id + 5) % {products}')} AS pay_product_ids",
+        f"{_ids(_PAY, 'event_id % products', '(event_id + 5) % products')} AS pay_product_ids",
         "user_id % 25 AS city_id",
     )
 
