@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,10 +97,38 @@ def build_blacklist(ads: DataFrame, min_clicks: int = 1) -> DataFrame:
     return per_ad.where(F.col("n") >= min_clicks).select(*USER_DAY).distinct()
 
 
+# Rows of a user filter: so many words of 64 bits at most, whatever the list's length.
+FILTER_WORDS = 1 << 18
+
+
+def user_filter(blacklist: DataFrame) -> DataFrame:
+    """(word, mask): a Bloom filter of the listed (day, user) pairs, at most FILTER_WORDS rows.
+
+    A pair has three bits in one word, so a lookup is one join with a table of known size.
+    """
+    return blacklist.select(*_bits()).groupBy("word").agg(F.bit_or("own").alias("mask"))
+
+
+def _bits() -> list[Column]:
+    """The word and the bits of a row's (day, user)."""
+    code = F.xxhash64(*USER_DAY)
+    bits = [F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(xxhash64(dayString, userId), {k}) & 63 AS int))") for k in (16, 24, 32)]
+    return [F.pmod(code, F.lit(FILTER_WORDS)).alias("word"), reduce(Column.bitwiseOR, bits).alias("own")]
+
+
 def drop_blacklisted(ads: DataFrame, blacklist: DataFrame) -> DataFrame:
     """Clicks of users not listed for the day of the click.
 
-    Unhinted: a list under the broadcast threshold is broadcast, a larger one is shuffle-joined,
-    with adaptive execution splitting the rows of an over-active user.
+    A Bloom filter of the list, whose size is bounded, is broadcast first. Clicks that it rejects are
+    surely not listed and stay where they are; only the others, listed ones and a few false hits, go
+    into the anti join. That one is unhinted: a list under the broadcast threshold is broadcast, a
+    larger one is shuffle-joined, with adaptive execution splitting the rows of an over-active user.
+    A click without day or user is never listed.
     """
-    return ads.join(blacklist, USER_DAY, "left_anti")
+    columns = ads.columns
+    bits = F.broadcast(user_filter(blacklist).withColumnRenamed("word", "_word"))
+    word, own = _bits()
+    looked = ads.withColumns({"_at": word, "_own": own}).join(bits, F.col("_at") == F.col("_word"), "left")
+    maybe = F.coalesce(F.col("mask").bitwiseAND(F.col("_own")) == F.col("_own"), F.lit(False))
+    clean = looked.where(~maybe).select(*columns)
+    return clean.unionByName(looked.where(maybe).select(*columns).join(blacklist, USER_DAY, "left_anti"))

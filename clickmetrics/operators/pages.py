@@ -41,8 +41,8 @@ def _flow_steps(flow: str) -> list[tuple[int, int]]:
 def _summaries(actions: DataFrame, steps: list[tuple[int, int]], prefixes: tuple[int, ...]) -> DataFrame:
     """One row with how often each step was made (s0, s1, ...) and each source page was seen (v0, v1, ...).
 
-    Rows are placed once, by session and the finest slice of it, a slice being a prefix of the
-    action_time text; a prefix never reorders texts. Steps inside a slice are counted there, and the
+    Rows are placed once, by session and the finest slice of it (or lie so already, in a table clustered
+    by session), a slice being a prefix of the action_time text; a prefix never reorders texts. Steps inside a slice are counted there, and the
     slice goes on as a summary: its first and last row and its counts. Summaries merge in time order
     into those of the next, shorter prefix and at last of the session, a merge adding the step from
     the last row of one to the first of the next. So all rows are shuffled once, and no task gets
@@ -62,7 +62,6 @@ def _summaries(actions: DataFrame, steps: list[tuple[int, int]], prefixes: tuple
         else:
             key = ["session_id", "slice"]
             placed = rows.withColumn("slice", F.substring("first.action_time", 1, length))
-            placed = placed if level else placed.repartition(*key)
         in_slice = Window.partitionBy(*key).orderBy("first")
         linked = placed.withColumn("following", F.lead("first.page_id").over(in_slice))
         counts = made(F.col("last.page_id"), F.col("following"))

@@ -147,6 +147,11 @@ running AS (
     FROM (SELECT dayString, userId, adsId, quarter, count(*) AS n FROM parted GROUP BY ALL)),
 since AS (SELECT dayString, userId, min(quarter) AS listed_in FROM running WHERE clicks >= 2 GROUP BY ALL)"""
 
+_RATES = """
+        SELECT jump, n, visits, round(CAST(n AS DOUBLE) / visits, 6) AS rate,
+               regexp_replace(printf('%.2f%%', CAST(n AS DOUBLE) / visits * 100), '^0', '') AS rate_text
+        FROM jumps JOIN visits USING (page_id)"""
+
 _ORDER10 = "ORDER BY clickCount DESC, orderCount DESC, payCount DESC, categoryId LIMIT 10"
 
 _TOP3_JSON = """
@@ -216,16 +221,28 @@ ORACLES: dict[str, str] = {
         FROM strict10 LEFT JOIN nested USING (categoryId)"""),
     "page_visit_counts": _pages("SELECT * FROM visits"),
     "page_transition_counts": _pages("SELECT jump, n FROM jumps"),
-    "page_conversion_rate": _pages("""
-        SELECT jump, n, visits, round(CAST(n AS DOUBLE) / visits, 6) AS rate,
-               regexp_replace(printf('%.2f%%', CAST(n AS DOUBLE) / visits * 100), '^0', '') AS rate_text
-        FROM jumps JOIN visits USING (page_id)"""),
+    "page_conversion_catalog": _with(
+        _UVA.replace("FROM events)", "FROM events WHERE CAST(ts AS DATE) BETWEEN '2024-01-03' AND '2024-01-12')"),
+        _PAGES,
+        select=_RATES,
+    ),
+    "page_conversion_rate": _pages(_RATES),
     "area_product_clicks": _with(_UVA, _CITY, _AREA, select="SELECT * FROM t1"),
     "area_product_counts": _area("SELECT * FROM t2"),
     "area_product_top3": _area(_AREA_TOP3),
     "area_product_top3_sql": _area(_AREA_TOP3),
     "city_remark": _area("SELECT area, city_remark FROM t2", by="area"),
     "ads_log_parse": _ads("SELECT * FROM ads"),
+    "ads_rejected_lines": _ads("""
+        SELECT concat_ws(',', ts, area, city, userId) AS value, 'missing field' AS reason
+        FROM ads WHERE CAST(userId AS BIGINT) % 10 = 0
+        UNION ALL
+        SELECT 'at ' || concat_ws(',', ts, area, city, userId, adsId), 'bad time'
+        FROM ads WHERE CAST(userId AS BIGINT) % 10 = 1"""),
+    "ads_line_counts_stream": _ads("""
+        SELECT CASE CAST(userId AS BIGINT) % 10 WHEN 0 THEN 'missing field' WHEN 1 THEN 'bad time' ELSE 'good' END AS what,
+               count(*) AS n
+        FROM ads GROUP BY ALL"""),
     "ads_daily_area_counts": _ads("SELECT * FROM counts"),
     "ads_area_top3": _ads("SELECT dayString, area, adsId, n, CAST(rank AS INTEGER) AS rank FROM top3"),
     "ads_area_top3_json": _ads(_TOP3_JSON),

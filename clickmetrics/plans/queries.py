@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,8 @@ from clickmetrics.operators import ads, area, category, pages, sessions
 from clickmetrics.plans.area_sql import area_top3_sql, register_views
 from clickmetrics.session import work_folder
 from clickmetrics.sources import testtables
-from clickmetrics.sources.actions import action_lines, parse_actions
-from clickmetrics.sources.ads import parse_ads, stream_ads_files
+from clickmetrics.sources.actions import action_lines, parse_actions, save_clustered_actions
+from clickmetrics.sources.ads import check_ads, parse_ads, split_checked, stream_ads_files
 from clickmetrics.streaming import jobs
 from clickmetrics.streaming.tables import stamp_files
 
@@ -79,6 +80,31 @@ def _arrivals(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.read_last_hour(spark, f"{folder}/job").select("adsId", "minute", "n")
 
 
+CATALOG_DAYS = ("2024-01-03", "2024-01-12")
+
+
+def _catalog_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Page conversion over ten days of a clustered catalog table, reached after ``USE``."""
+    folder = work_folder(spark, "shop")
+    database = f"shop_{uuid.uuid4().hex}"
+    before = spark.catalog.currentDatabase()
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}'")
+    try:
+        spark.catalog.setCurrentDatabase(database)
+        save_clustered_actions(testtables.user_visit_action(spark, sf), "actions_by_session", buckets=8)
+        actions = spark.table("actions_by_session").where(F.col("date").between(*CATALOG_DAYS))
+        return _rounded(pages.page_conversion(actions, FLOW))
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+def _line_counts(spark: SparkSession, sf: str) -> DataFrame:
+    folder = work_folder(spark, "ads")
+    lines = testtables.damaged(testtables.ads_log_stream(spark, sf))
+    jobs.start_checked_append(lines, folder, trigger={"availableNow": True}).awaitTermination()
+    return jobs.read_line_counts(spark, folder)
+
+
 def _sessions_as_text(df: DataFrame) -> DataFrame:
     return df.withColumn("sessions", F.to_json("sessions"))
 
@@ -116,6 +142,7 @@ QUERIES: dict[str, Query] = {
     "page_visit_counts": _actions(lambda a: pages.page_visits(a, FLOW)),
     "page_transition_counts": _actions(lambda a: pages.page_transitions(a, FLOW)),
     "page_conversion_rate": _actions(lambda a: _rounded(pages.page_conversion(a, FLOW))),
+    "page_conversion_catalog": _catalog_pages,
     "area_product_clicks": _area(area.area_product_clicks),
     "area_product_counts": _area(area.area_product_counts),
     "area_product_top3": _area(area.area_product_report),
@@ -124,6 +151,8 @@ QUERIES: dict[str, Query] = {
         lambda a, p, c: area.city_remark(area.area_product_clicks(a, p, c), "area").select("area", "city_remark")
     ),
     "ads_log_parse": _ads(lambda a: a),
+    "ads_rejected_lines": lambda spark, sf: split_checked(check_ads(testtables.damaged(testtables.ads_log(spark, sf))))[1],
+    "ads_line_counts_stream": _line_counts,
     "ads_daily_area_counts": _ads(ads.daily_area_counts),
     "ads_area_top3": _ads(ads.area_top3),
     "ads_area_top3_json": _ads(ads.area_top3_json),

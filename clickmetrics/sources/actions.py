@@ -61,3 +61,15 @@ def catalog_tables(spark: SparkSession, database: str | None = None) -> dict[str
     if database:
         spark.catalog.setCurrentDatabase(database)
     return {t: spark.table(t) for t in ("user_visit_action", "product_info", "city_info")}
+
+
+def save_clustered_actions(actions: DataFrame, name: str, buckets: int, path: str | None = None) -> None:
+    """Saves a catalog table with a folder for each date, inside it files clustered and sorted by session.
+
+    Reading it for some dates scans only these; grouping or ordering by session needs no shuffle. A
+    session then lies in one file of a date, so this suits sessions of moderate length.
+    """
+    clustered = actions.repartition(buckets, "session_id")  # a task writes one bucket of each date
+    writer = clustered.write.format("parquet").mode("overwrite").partitionBy("date")
+    writer = writer.bucketBy(buckets, "session_id").sortBy("session_id", "action_time")
+    (writer.option("path", path) if path else writer).saveAsTable(name)

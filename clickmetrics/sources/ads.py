@@ -2,44 +2,83 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from clickmetrics.schemas import ADS_INFO, column_names
 from clickmetrics.sources.actions import fail_on_missing, split_once
 
 
-def parse_ads(lines: DataFrame, mode: str = "strict") -> DataFrame:
-    """``ts_ms,area,city,user,ad`` lines -> the 8 ad-click columns; batch and stream alike.
+FIELDS = ["ts", "area", "city", "userId", "adsId"]
+MISSING_FIELD, BAD_TIME = "missing field", "bad time"
+REASONS = (MISSING_FIELD, BAD_TIME)
 
-    ``strict`` fails on a short line or a bad time, whichever columns are read later; ``permissive``
-    drops it. A column ``arrival`` of the lines is taken along.
-    """
-    if mode not in ("strict", "permissive"):
-        raise ValueError(f"unknown mode: {mode}")
-    # An empty last field counts as missing, so commas at the end are cut first.
+
+def _fields(lines: DataFrame) -> DataFrame:
+    """``value`` (and ``arrival``, if there) with the line's fields; ``time`` is the text of the time field."""
     arrival = [c for c in lines.columns if c == "arrival"]
+    # An empty last field counts as missing, so commas at the end are cut first.
     parts = split_once(lines.select("value", *arrival), F.split(F.rtrim("value", F.lit(",")), ","))
-    names = ["ts", "area", "city", "userId", "adsId"]
-    raw = parts.selectExpr(
+    return parts.selectExpr(
         "value",
         *arrival,
+        "get(p, 0) AS time",
         "try_cast(get(p, 0) AS bigint) AS ts",
-        *[f"get(p, {i}) AS {c}" for i, c in enumerate(names) if i],
-    )
-    raw = fail_on_missing(raw, names) if mode == "strict" else raw.dropna(subset=names)
-    return raw.selectExpr(
-        "ts",
-        "timestamp_millis(ts) AS timestamp",
-        "date_format(timestamp_millis(ts), 'yyyy-MM-dd') AS dayString",
-        "date_format(timestamp_millis(ts), 'HH:mm') AS hmString",
-        "area",
-        "city",
-        "userId",
-        "adsId",
-        *arrival,
+        *[f"get(p, {i}) AS {c}" for i, c in enumerate(FIELDS) if i],
     )
 
 
+# The ad-click columns, from those of ``_fields``.
+_CLICK = [
+    "ts",
+    "timestamp_millis(ts) AS timestamp",
+    "date_format(timestamp_millis(ts), 'yyyy-MM-dd') AS dayString",
+    "date_format(timestamp_millis(ts), 'HH:mm') AS hmString",
+    *FIELDS[1:],
+]
+
+
+def parse_ads(lines: DataFrame, mode: str = "strict") -> DataFrame:
+    """``ts_ms,area,city,user,ad`` lines -> the 8 ad-click columns; batch and stream alike.
+
+    ``strict`` fails on a short line or a bad time, whichever columns are read later; ``permissive``
+    drops it (``check_ads`` keeps it with the reason). A column ``arrival`` of the lines is taken along.
+    """
+    if mode not in ("strict", "permissive"):
+        raise ValueError(f"unknown mode: {mode}")
+    raw = _fields(lines)
+    raw = fail_on_missing(raw, FIELDS) if mode == "strict" else raw.dropna(subset=FIELDS)
+    return raw.selectExpr(*_CLICK, *[c for c in lines.columns if c == "arrival"])
+
+
+def check_ads(lines: DataFrame) -> DataFrame:
+    """Every line, as ``value``, with the ad-click columns and ``reason``, which is NULL for a good line.
+
+    A line that lacks a field is told so whatever its time looks like. Columns that could not be read are NULL.
+    """
+    short = " OR ".join(f"{name} IS NULL" for name in FIELDS[1:])
+    reason = f"CASE WHEN time IS NULL OR {short} THEN '{MISSING_FIELD}' WHEN ts IS NULL THEN '{BAD_TIME}' END AS reason"
+    return _fields(lines).selectExpr("value", *_CLICK, reason)
+
+
+def observe_lines(checked: DataFrame, observation: Observation) -> DataFrame:
+    """Counts good lines and those of each reason while the lines pass; ``line_counts`` reads them afterwards."""
+    of_reason = [F.count_if(F.col("reason") == r).alias(r) for r in REASONS]
+    return checked.observe(observation, F.count_if(F.col("reason").isNull()).alias("good"), *of_reason)
+
+
+def line_counts(observation: Observation) -> list[tuple[str, int]]:
+    """(what, n) after the pass: ``good`` and each reason."""
+    seen = observation.get
+    return [(what, seen[what]) for what in ("good", *REASONS)]
+
+
+def split_checked(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The clicks of good lines, and (value, reason) of the others."""
+    good = checked.where("reason IS NULL").select(*column_names(ADS_INFO))
+    return good, checked.where("reason IS NOT NULL").select("value", "reason")
+
+
 def read_ads_text(spark: SparkSession, path: str, mode: str = "strict") -> DataFrame:
     return parse_ads(spark.read.text(path), mode)
 

@@ -79,3 +79,13 @@ def ads_log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     )
     return _lines(events, city_info(spark, sf_dir))
+
+
+def damaged(lines: DataFrame) -> DataFrame:
+    """Click lines of which those of every tenth user lack the ad and those of the next have no readable time."""
+    return lines.selectExpr(
+        """CASE CAST(split_part(value, ',', 4) AS bigint) % 10
+           WHEN 0 THEN substring_index(value, ',', 4)
+           WHEN 1 THEN concat('at ', value)
+           ELSE value END AS value"""
+    )

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickmetrics.operators import ads as A
 from clickmetrics.schemas import ADS_INFO, column_names
+from clickmetrics.sources.ads import check_ads, line_counts, observe_lines, split_checked
 from clickmetrics.streaming.tables import BatchTable, KeyedTable, PaneStore, values_of
 
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
@@ -364,6 +365,46 @@ def read_raw(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(ADS_INFO).parquet(f"{folder}/raw")
 
 
+CHECKED = f"value string, {ADS_INFO}, reason string"
+LINE_COUNTS = "batch bigint, what string, n bigint"
+
+
+def line_counts_table(folder: str) -> KeyedTable:
+    return KeyedTable(f"{folder}/line_counts", LINE_COUNTS, ["batch", "what"], by="what")
+
+
+def start_checked_append(lines: DataFrame, folder: str, trigger: dict = EVERY_2_SECONDS) -> StreamingQuery:
+    """Appends raw lines as clicks, and those that cannot be read as (value, reason), each exactly once.
+
+    Both come from one pass over a batch, and the counts of good and bad lines come with it.
+    ``read_checked`` and ``read_line_counts`` read what finished batches wrote.
+    """
+    counts = line_counts_table(folder)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        observation = Observation()
+        checked = observe_lines(check_ads(batch), observation)
+        checked.withColumn("bad", F.col("reason").isNotNull()).write.mode("overwrite").partitionBy("bad").parquet(
+            f"{folder}/lines/batch_id={batch_id}"
+        )
+        rows = [(batch_id, what, n) for what, n in line_counts(observation)]
+        counts.write(batch.sparkSession.createDataFrame(rows, LINE_COUNTS), batch_id)
+
+    return _start(lines, folder, on_batch, trigger, mode="append")
+
+
+def read_checked(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The clicks of good lines, and (value, reason) of the others."""
+    rows = spark.read.schema(f"{CHECKED}, batch_id bigint, bad boolean").parquet(f"{folder}/lines")
+    rows = rows.where(F.col("batch_id") <= line_counts_table(folder).last_batch(spark))
+    return split_checked(rows.where("NOT bad"))[0], split_checked(rows.where("bad"))[1]
+
+
+def read_line_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """(what, n): good lines and those of each reason."""
+    return line_counts_table(folder).read(spark).groupBy("what").agg(F.sum("n").alias("n"))
+
+
 def start_console(ads: DataFrame, trigger: dict = EVERY_2_SECONDS) -> StreamingQuery:
     return (
         ads.writeStream.format("console")

@@ -60,14 +60,59 @@ def hot_user_clicks(ids):
     return ads.select(*column_names(ADS_INFO))
 
 
-def some_users(spark):
-    return spark.createDataFrame([("1970-01-01", str(u)) for u in range(500)], "dayString string, userId string")
+def some_users(spark, *more):
+    users = [("1970-01-01", str(u)) for u in [*range(500), *more]]
+    return spark.createDataFrame(users, "dayString string, userId string")
+
+
+def shuffled_rows(df):
+    """Rows that the exchanges of a finished plan wrote, largest first."""
+    plan, found = df._jdf.queryExecution().executedPlan(), []
+    stack = [plan.finalPhysicalPlan()]
+    while stack:
+        node = stack.pop()
+        children = node.children()
+        stack += [children.apply(i) for i in range(children.size())]
+        if node.nodeName().startswith("ShuffleQueryStage"):
+            stack.append(node.plan())
+        if node.nodeName() == "Exchange":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+    return sorted(found, reverse=True)
+
+
+def test_hot_listed_user_is_split(spark, tiny_partitions):
+    clicks = hot_user_clicks(spark.range(0, 60_000, 1, 16))
+    kept = A.drop_blacklisted(clicks, some_users(spark, "hot"))
+    assert "skew=true" in final_plan(kept)
+    listed = {str(u) for u in range(500)} | {"hot"}
+    assert kept.count() == clicks.where(~clicks.userId.isin(listed)).count()
 
 
-def test_hot_user_is_split(spark, tiny_partitions):
-    kept = A.drop_blacklisted(hot_user_clicks(spark.range(0, 60_000, 1, 16)), some_users(spark))
-    assert "skew=true" in final_plan(kept)
-    assert kept.where("userId = 'hot'").count() == 20_000
+def test_clean_clicks_are_not_shuffled(spark, tiny_partitions):
+    clicks = hot_user_clicks(spark.range(0, 60_000, 1, 16))
+    kept = A.drop_blacklisted(clicks, some_users(spark))
+    rows = kept.collect()
+    listed = clicks.where(clicks.userId.isin([str(u) for u in range(500)])).count()
+    assert len(rows) == 60_000 - listed and sum(r["userId"] == "hot" for r in rows) == 20_000
+    # Only the listed users' clicks meet the list: the hot user, who is not on it, stays in place.
+    assert shuffled_rows(kept)[0] <= listed * 1.01 < 25_000
+
+
+def test_false_hits_of_the_filter_are_kept(spark, monkeypatch):
+    monkeypatch.setattr(A, "FILTER_WORDS", 1)  # one word for all: nearly every click looks listed
+    clicks = hot_user_clicks(spark.range(0, 3_000))
+    (word,) = A.user_filter(some_users(spark)).collect()
+    assert bin(word["mask"] & (2**64 - 1)).count("1") > 60
+    expected = clicks.where(~clicks.userId.isin([str(u) for u in range(500)]))
+    assert sorted(A.drop_blacklisted(clicks, some_users(spark)).collect()) == sorted(expected.collect())
+    nobody = some_users(spark).limit(0)
+    assert A.drop_blacklisted(clicks, nobody).count() == 3_000
+
+
+def test_clicks_without_day_or_user_are_kept(spark):
+    clicks = hot_user_clicks(spark.range(0, 10)).selectExpr("* EXCEPT (userId)", "CAST(NULL AS string) AS userId")
+    clicks = clicks.select(*column_names(ADS_INFO))
+    assert A.drop_blacklisted(clicks, some_users(spark)).count() == 10
 
 
 def test_hot_user_is_split_inside_a_stream(spark, tiny_partitions, tmp_path):
@@ -76,7 +121,7 @@ def test_hot_user_is_split_inside_a_stream(spark, tiny_partitions, tmp_path):
     plans = []
 
     def on_batch(clicks, _):
-        plans.append(final_plan(A.drop_blacklisted(clicks, some_users(clicks.sparkSession))))
+        plans.append(final_plan(A.drop_blacklisted(clicks, some_users(clicks.sparkSession, "hot"))))
 
     clicks = hot_user_clicks(spark.readStream.schema("id bigint").parquet(source))
     query = clicks.writeStream.foreachBatch(on_batch).option("checkpointLocation", str(tmp_path / "c"))

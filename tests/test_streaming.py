@@ -345,6 +345,21 @@ def test_hour_by_arrival(spark, tmp_path):
     assert all(f.stat().st_mtime == 1 for f in inbox.glob("*.txt"))
 
 
+def test_rejected_lines_survive_a_restart(spark, tmp_path):
+    inbox, folder = tmp_path / "in", str(tmp_path / "job")
+    inbox.mkdir()
+    for k, text in enumerate([f"{millis(DAY)},N,c,1,2\nbroken", f"x,N,c,1,2\n{millis(DAY)},N,c,1", f"{millis(DAY)},N,c,3,4"]):
+        (inbox / f"{k}.txt").write_text(text)
+        if k == 2:  # batch 1 runs again, as after a failure before its commit
+            for name in ("1", ".1.crc"):
+                (Path(folder) / "checkpoint" / "commits" / name).unlink(missing_ok=True)
+        jobs.start_checked_append(stream_ads_files(spark, str(inbox)), folder, trigger=NOW).awaitTermination()
+    clicks, rejected = jobs.read_checked(spark, folder)
+    assert sorted(r["userId"] for r in clicks.collect()) == ["1", "3"]
+    assert found(rejected) == [(f"{millis(DAY)},N,c,1", "missing field"), ("broken", "missing field"), ("x,N,c,1,2", "bad time")]
+    assert found(jobs.read_line_counts(spark, folder)) == [("bad time", 1), ("good", 2), ("missing field", 2)]
+
+
 def test_console_sink(spark, tmp_path, log):
     query = jobs.start_console(parse_ads(stream_ads_files(spark, log)), trigger=NOW)
     query.awaitTermination()
