@@ -30,6 +30,10 @@ END_ID = 2
 SEGMENT_IDS = 1 << 20
 SEGMENT_DOCS = 1 << 15
 SELECT_STEP = 256
+# Words of letters that are kept; others, which may be made of them, are bounded by CACHE_WORDS.
+KEPT_LETTERS = 1_000_000
+# Signs that the tokenizer takes as one run when they end a word.
+SIGNS = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 FILE_SCHEMA = "part int, segment int, doc_ids array<bigint>, width int, ids binary, n_ids bigint, low_bits int, low binary, high binary, select binary"
 
 
@@ -38,6 +42,17 @@ def _composed(word: str) -> bool:
     return unicodedata.is_normalized("NFC", word) and len(word.lower()) == len(word) and "Σ" not in word
 
 
+def _lowered(text: str) -> str:
+    """The text in lower case, where the tokenizer gives both the same ids; else as it is.
+
+    Special strings are known before letters are lowered, so a text that may hold one stays.
+    """
+    if "<|" in text or not (text.isascii() or _composed(text)):
+        return text
+    low = text.lower()
+    return low if unicodedata.is_normalized("NFC", low) else text
+
+
 class EliasFano:
     """A non-decreasing sequence of integers from 0 to ``most``."""
 
@@ -91,7 +106,7 @@ class WordEncoder:
 
     Only blanks, tabs and line ends cut words here; the library itself deals with all other space. It
     also cuts letters from punctuation and lowers them, so the letters of plain words are kept apart
-    from a stop behind them; new ones go to the library as one text, cut again behind each word-end id.
+    from the signs behind them; new ones go to the library as one text, cut again behind each word-end id.
     """
 
     def __init__(self, path: str) -> None:
@@ -104,7 +119,7 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.stops = {c: self._ids([c])[0] for c in ".,;:!?"} | {"": b""}
+        self.stops = {"": b""}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -121,22 +136,25 @@ class WordEncoder:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids as little-endian 32-bit words for each text."""
-        cut = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        cut = [_lowered(t).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         if len(self.words) > CACHE_WORDS:
             self.words = {"": b""}
-        if len(self.letters) > CACHE_WORDS:
+        if len(self.letters) > KEPT_LETTERS:
             self.letters = {}
         words = self.words
-        new = set().union(*cut) - words.keys()
+        new = [w for w in set().union(*cut) if w not in words]  # a set less a dict's keys would go over all of the dict
         plain, other = [], []
         for word in new:
-            stop = word[-1] if word[-1] in self.stops else ""
-            core = word[:-1] if stop else word
-            if core.isalpha() and len(core) <= CACHE_CHARS and (core.isascii() or _composed(core)):
-                plain.append((word, core.lower(), stop))
+            core = word.rstrip(SIGNS)
+            if core.isalpha() and len(word) <= CACHE_CHARS and (core.isascii() or _composed(core)):
+                plain.append((word, core.lower(), word[len(core) :]))
             else:
                 other.append(word)
-        self._learn(list({core for _, core, _ in plain} - self.letters.keys()))
+        if len(self.stops) > CACHE_WORDS:
+            self.stops = {"": b""}
+        stops = [stop for stop in {stop for *_, stop in plain} if stop not in self.stops]
+        self.stops.update(zip(stops, self._ids(stops)))
+        self._learn([core for core in {core for _, core, _ in plain} if core not in self.letters])
         words.update((word, self.letters[core] + self.stops[stop]) for word, core, stop in plain)
         fresh = dict(zip(other, self._ids(other)))
         words.update((w, b) for w, b in fresh.items() if len(w) <= CACHE_CHARS)
