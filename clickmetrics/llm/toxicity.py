@@ -37,6 +37,8 @@ STEEP = 4.0
 ROUNDS = 3
 COST = 10
 LOWEST = -4.0
+# Words whose letter pairs are in memory at once.
+PIECE = 1024
 
 # Letters drawn apart by blanks: three or more single characters in a row.
 APART = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
@@ -94,8 +96,8 @@ class Model:
     def decide(self, words: list[str]) -> np.ndarray:
         """Decision values; a very long word counts as its most toxic stretch."""
         out = np.full(len(words), LOWEST)
-        for lo in range(0, len(words), 2048):
-            values, owner = self.kernel(words[lo : lo + 2048])
+        for lo in range(0, len(words), PIECE):
+            values, owner = self.kernel(words[lo : lo + PIECE])
             np.maximum.at(out, lo + owner, values @ self.weights + self.bias)
         return out
 
@@ -107,7 +109,7 @@ class Model:
         if len(self.known) > CACHE_WORDS:
             self.known = {}
         known = self.known
-        new = set().union(*cut) - known.keys()
+        new = [w for w in set().union(*cut) if w not in known]  # a set less a dict's keys would go over all of the dict
         by_form: dict[str, list[str]] = {}
         for word in new:
             by_form.setdefault(normal(word), []).append(word)
@@ -238,8 +240,11 @@ def fit(rows: list, toxic_docs: int, clean_docs: int) -> Model | None:
     values, vectors = np.linalg.eigh(own.astype(np.float64))
     nystrom = vectors / np.sqrt(np.maximum(values, 1e-6))
     words = bad + good
-    kernel, owner = probe.kernel(words)
-    mapped = np.hstack([kernel @ nystrom, np.ones((len(kernel), 1))])
+    parts = []
+    for lo in range(0, len(words), PIECE):  # the letter pairs of all words at once would be far more than their maps
+        kernel, owner = probe.kernel(words[lo : lo + PIECE])
+        parts.append((np.hstack([kernel @ nystrom, np.ones((len(kernel), 1))]), lo + owner))
+    mapped, owner = map(np.concatenate, zip(*parts))
     sign = np.where(owner < len(bad), 1.0, -1.0)
     # Each label weighs the same in total; toxic words by the documents they mark.
     weight = np.array([counts[w][0] for w in bad] + [1.0] * len(good), float)[owner]
