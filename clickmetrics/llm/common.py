@@ -44,6 +44,16 @@ def keep_files(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def squeezed(raw: bytes) -> bytes:
+    """Bytes compressed, behind their length."""
+    return len(raw).to_bytes(8, "little") + (pa.compress(raw, codec="zstd", asbytes=True) if raw else b"")
+
+
+def unsqueezed(packed: bytes) -> bytes:
+    size = int.from_bytes(packed[:8], "little")
+    return pa.decompress(packed[8:], size, codec="zstd", asbytes=True) if size else b""
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads near values (the splitmix64 finalizer)."""
     x = x.astype(np.uint64, copy=True)
