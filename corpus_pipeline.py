@@ -7,7 +7,7 @@ decontaminate   drops rows that hold a benchmark passage
 secrets         replaces secrets in the text; n_chars follows
 pieces          encodes and decodes what is left
 
-All but the last return the columns they were given. Rows that agree in doc_id and text count as
+All but the last return the columns they were given, whatever names others than doc_id and text have. Rows that agree in doc_id and text count as
 one document. A null text is an empty one and stays until the last stage.
 """
 
@@ -21,29 +21,35 @@ from clickmetrics.llm.queries import table
 from clickmetrics.session import work_folder
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """A row as a whole, with the two columns that operators read: no other name can meet one of theirs."""
+    return docs.select(F.struct("*").alias("row"), "doc_id", "text")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score_texts(docs, model, docs.columns).where("score < 0.5").drop("score")
+    model = toxicity.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return toxicity.score_texts(_rows(docs), model, ["row"]).where("score < 0.5").select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    linked = ngram_join.link_rows(docs, n=5, percent=80).select("doc_id", "text_key", "component").distinct()
+    rows = _rows(docs)
+    linked = ngram_join.link_rows(rows, n=5, percent=80).select("doc_id", "text_key", "component").distinct()
     # Of a component stays one row, of the smallest doc_id and then the smallest text; null ids come last.
     # Rows without words are no copies of anything.
     least = linked.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
     kept = linked.join(least, "component", "left").where("component IS NULL OR doc_id <=> least")
-    kept = kept.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("component").alias("_component"))
-    keyed = docs.withColumn("_text_key", F.xxhash64("text"))
-    mine = keyed.join(kept, F.expr("CAST(doc_id AS bigint)").eqNullSafe(F.col("_id")) & (keyed._text_key == kept._key))
-    lone = F.col("_component").isNull()
-    one = mine.groupBy("_component", F.when(lone, F.col("_id")), F.when(lone, F.col("_key"))).agg(
-        F.min_by(F.struct(*docs.columns), F.struct(F.coalesce("text", F.lit("")))).alias("_row")
+    kept = kept.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "component")
+    keyed = rows.withColumn("own_key", F.xxhash64("text"))
+    mine = keyed.join(kept, F.expr("CAST(doc_id AS bigint)").eqNullSafe(F.col("id")) & (F.col("own_key") == F.col("key")))
+    lone = F.col("component").isNull()
+    one = mine.groupBy("component", F.when(lone, F.col("id")), F.when(lone, F.col("key"))).agg(
+        F.min_by("row", F.struct(F.coalesce("text", F.lit("")))).alias("row")
     )
-    return one.select("_row.*")
+    return one.select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.drop_hits(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.drop_hits(_rows(docs), table(spark, sf_dir, "benchmark")).select("row.*")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
