@@ -36,7 +36,7 @@ def integer_vectors(df: DataFrame, scale: int = 64) -> DataFrame:
 
 def _matrix(table: pa.Table, dim: int) -> np.ndarray:
     column = table.column("v").combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim)
 
 
 def _pivots(points: np.ndarray, n: int) -> np.ndarray:
@@ -75,6 +75,8 @@ class PivotTable:
         for row, d in zip(self.table[1:], to_pivots[1:]):
             np.maximum(bound, np.abs(row - d), out=bound)
         reach = float(point @ point) + self.most
+        if reach >= 2**63:
+            raise OverflowError("scores of these vectors may pass 63 bits")
         # Room for rounding: distances carry errors far below this share of their size.
         bound = np.maximum(bound - 1e-6 * (1 + np.sqrt(reach)), 0)
         highest = np.floor((reach - bound * bound) / 2 + 1e-6 * (1 + reach))
@@ -103,6 +105,8 @@ def search_all(vectors: DataFrame, is_query: str = "vec_id % 20 = 0", k: int = K
     ``vectors`` has vec_id and embedding. Vectors that are null or hold null or non-finite components,
     and rows without an id, take no part. Vectors only meet those of equal length. A query never
     meets its own id; where ids repeat, each row of another id counts. Fewer candidates give fewer rows.
+    Vectors without components score 0 with each other. Components so large that a score may pass 63
+    bits fail the search.
     """
     points = integer_vectors(vectors).withColumn("dim", F.size("v"))
     rows, queries = points.agg(F.count("*"), F.count_if(F.expr(is_query))).first()

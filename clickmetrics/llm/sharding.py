@@ -23,13 +23,13 @@ from clickmetrics.session import work_folder
 SHARDS = 16
 SEED = 20
 BUCKET_BYTES = 16 << 20
-OWN = ("_bucket", "_place", "_size", "_crc")
+OWN = ("_bucket", "_place", "_size", "_crc", "_begin", "_all", "shard", "slot")
 
 
 def shuffle_to_files(df: DataFrame, path: str, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> None:
     """Both passes; the files hold all columns of ``df`` (it must have doc_id and text) and the places.
 
-    Columns whose names begin with ``_bucket``, ``_place``, ``_size`` or ``_crc`` themselves are refused.
+    Columns with one of the names in ``OWN``, in either case, are refused.
     """
     clash = set(OWN) & {c.lower() for c in df.columns}
     if clash:
@@ -84,7 +84,7 @@ def read_shards(spark: SparkSession, path: str, shards: int = SHARDS) -> DataFra
 
 def write_shards(shuffled: DataFrame, path: str) -> None:
     """A folder for each shard, from what :func:`read_shards` gives; each file keeps the shuffled order."""
-    columns = [c for c in shuffled.columns if c not in (*OWN, "_begin", "_all")]
+    columns = [c for c in shuffled.columns if c in ("shard", "slot") or c not in OWN]
     shuffled.sortWithinPartitions("shard", "slot").select(*columns).write.partitionBy("shard").parquet(path)
 
 
@@ -92,11 +92,12 @@ def shard_documents(df: DataFrame, shards: int = SHARDS, seed: int = SEED) -> Da
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for every row, through shuffled files.
 
     Null texts have size 1 and the checksum of no bytes; null and repeated doc_ids stay. An empty table
-    gives no rows. Equal texts may part; the law is ``rows``, so grown_shard is null.
+    gives no rows. Equal texts may part; the law is ``rows``, so grown_shard is null. Other columns are
+    not read.
     """
     spark = df.sparkSession
     path = work_folder(spark, "shuffled")
-    shuffle_to_files(df, path, seed)
+    shuffle_to_files(df.select("doc_id", "text"), path, seed)
     return read_shards(spark, path, shards).select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("_size").alias("size"),

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -355,3 +356,60 @@ def test_stages_decide_by_row(spark, tmp_path):
     assert _shown(corpus_pipeline.drop_contaminated(spark, docs, str(tmp_path))) == sorted(clean, key=repr)
     assert _shown(decontaminate.drop_hits(docs, bench, slice_bytes=40)) == sorted(clean, key=repr)
     assert _shown(decontaminate.drop_hits(docs, bench.where("false"))) == _shown(docs)
+
+
+def test_search_of_vectors_without_components(spark):
+    rows = [(0, []), (20, [1.0]), (3, []), (4, [2.0]), (5, [])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = sorted(map(tuple, exact_topk.search_all(table).collect()))
+    assert found == [(0, 1, 3, 0), (0, 2, 5, 0), (20, 1, 4, 64 * 128)]
+
+
+def test_scores_beyond_63_bits_fail_instead_of_wrapping():
+    with pytest.raises(OverflowError):
+        exact_topk.PivotTable(np.array([1, 2]), np.full((2, 2), 1 << 32)).search(3, np.full(2, 1 << 32), 1)
+
+
+def test_shards_with_clashing_columns(spark):
+    names = "doc_id bigint, text string, _begin int, _all int, _bucket int, shard int, slot int"
+    table = spark.createDataFrame([(k, f"t{k}", 1, 2, 3, 4, 5) for k in range(40)], names)
+    plain = sharding.shard_documents(table.select("doc_id", "text")).collect()
+    assert sorted(map(str, sharding.shard_documents(table).collect())) == sorted(map(str, plain))
+    with pytest.raises(ValueError, match="_all"):
+        sharding.shuffle_to_files(table, "unused")
+
+
+CLASHES = "score _id _key _component _searched_text _text_key row id key component own_key label node".split()
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES[:4]])
+def test_stages_keep_columns_of_any_name(spark, stage):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
+    wide = docs.selectExpr("*", *[f"concat(doc_id, '{c}') AS {c}" for c in CLASHES])
+    run = dict(corpus_pipeline.STAGES)[stage]
+    plain = run(spark, wide.select(*docs.columns), "/root/testdata/sf0.001")
+    kept = run(spark, wide, "/root/testdata/sf0.001")
+    assert kept.columns == wide.columns
+    assert _sorted(kept.select(*docs.columns)) == _sorted(plain)
+    assert kept.where(" OR ".join(f"{c} <> concat(doc_id, '{c}')" for c in CLASHES)).count() == 0
+
+
+def test_a_bucket_sorted_in_shares_gives_the_same_bits(monkeypatch):
+    """Repeats of many anchors, sorted at once and some anchors at a time."""
+    rng = random.Random(2)
+    lines = [bytes(rng.choice(b"abc ") for _ in range(90)) for _ in range(30)]
+    texts = [b"".join(rng.choice(lines) for _ in range(12)) for _ in range(20)]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype("<i8").tobytes()
+    pack = suffix_dedup.Pack(np.arange(20).astype("<i8").tobytes(), offsets, suffix_dedup.squeezed(b"".join(texts)))
+    rows, of_pair, ids, _ = pack.contexts(np.arange(len(pack.at)))
+    blobs = [suffix_dedup.squeezed(b) for b in (rows.tobytes(), of_pair.astype("<u4").tobytes(), ids.astype("<i8").tobytes())]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([7], pa.int64()), *[pa.array([b], pa.binary()) for b in blobs]],
+        names=["pack", "contexts", "of_pair", "pair_ids"],
+    )
+    found = []
+    for share in (1 << 15, 8):
+        monkeypatch.setattr(suffix_dedup, "SHARE_ROWS", share)
+        (out,) = suffix_dedup._sorted((pa.scalar(0),), iter([batch]))
+        found.append(suffix_dedup.unsqueezed(out.column("windows")[0].as_py()))
+    assert len(rows) > 100 and any(found[0]) and found[0] == found[1]
