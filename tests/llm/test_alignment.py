@@ -3,7 +3,7 @@
 import hashlib
 from collections import Counter
 
-import pytest
+import pyarrow as pa
 
 from clickmetrics.llm import alignment
 from clickmetrics.llm.common import tokenizer_path
@@ -98,10 +98,7 @@ def _frame(spark, rows):
     return spark.createDataFrame([(i, t, 1, "c", 2, 3, 4) for i, t in rows], names).repartition(3)
 
 
-@pytest.mark.parametrize("block", [1, alignment.BLOCK])
-def test_alignment_equals_byte_ranges(spark, monkeypatch, block):
-    monkeypatch.setattr(alignment, "BLOCK", block)
-    monkeypatch.setattr(alignment, "SLICE", 40 if block == 1 else alignment.SLICE)
+def test_alignment_equals_byte_ranges(spark):
     result = alignment.align_documents(_frame(spark, ROWS))
     assert result.columns == [p.split()[0] for p in alignment.RESULT.split(", ")]
     assert sorted(map(tuple, result.collect()), key=repr) == _expected(ROWS)
@@ -133,3 +130,23 @@ def test_very_long_texts():
     slow.encode_special_tokens = True
     for text in (" " * 300_000, " " + "ab" * 200_000, " x\n" * 100_000):
         assert own.encode([text])[0] == slow.encode(text, add_special_tokens=False).ids
+
+
+def test_blocks_cut_between_documents_only(monkeypatch):
+    """The same documents in one block and in many: links, groups and pair sums do not change."""
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([k for k, _ in ROWS], pa.int64()), pa.array([t for _, t in ROWS], pa.string())], names=["doc_id", "text"]
+    )
+    seen = []
+    for size in (alignment.BLOCK, 60, 1):
+        monkeypatch.setattr(alignment, "BLOCK", size)
+        monkeypatch.setattr(alignment, "SLICE", size)
+        sums, docs, blocks = Counter(), [], 0
+        for out in alignment._blocks(iter([batch]), alignment.FIRST, alignment.SECOND):
+            row = {n: out.column(n)[0].as_py() for n in out.schema.names}
+            sums.update(dict(zip(row["codes"], row["sums"])))
+            docs += zip(row["doc_ids"], *(row[c] for c in alignment.COUNTS), row["sha"])
+            blocks += 1
+        seen.append((sums, docs, blocks))
+    assert seen[0][:2] == seen[1][:2] == seen[2][:2]
+    assert seen[0][2] == 1 and seen[2][2] > seen[1][2] > 1
