@@ -1,21 +1,22 @@
 """Exact n-gram Jaccard join with prefix, length, positional and suffix filters.
 
-A document is the set of its distinct word n-grams, as 64-bit hashes. Sets that are equal become one
-class, so copies never meet. The n-grams of a set are put in one global order, rare ones first: the
-document frequency of every n-gram is counted over all documents into a table of hash cells, whose
-size is fixed whatever the corpus (cells that clash only blur the order, never the result). Sets that
-are similar enough share an n-gram of their prefixes, which are short by that order.
-
-Classes meet in the groups of one prefix n-gram. The first round only pairs each member with the
-group's pivot, linear in the group; most near copies are joined there. The second pairs each
-member with a few others of other components, also linear. The last pairs what is left: all members of one group that
-are in different components and pass the length filter;
-the positional filter drops a pair by the first n-gram it shares, parity bits of the whole sets drop
-most that differ too much behind it. Every pair is verified once, with the suffix filter before the
-full intersection. No link between components is lost: whatever shares
-a prefix n-gram is either joined already or tested.
-
-Sets are known by 64-bit keys; among n different sets two share a key with chance n * n / 2**65.
+A document is the set of its distinct word n-grams, as 64-bit hashes. Sets that are equal (by a 128-bit
+digest) become one class, a node with a number of its own, so copies never meet. The n-grams of a set are
+put in one global order, rare ones first: the document frequency of every n-gram is counted over all
+documents into a table of hash cells, whose size is fixed whatever the corpus (cells that clash only blur
+the order, never the result). Sets that are similar enough share an n-gram of their prefixes, which are
+short by that order.
+
+Classes meet in the groups of one prefix n-gram. A pair is a candidate if it passes the positional filter,
+which covers the length filter, and the parity sketches of the two sets, whose bits cannot differ more than
+the sets do. The sketches travel with the prefix n-grams, so members without any candidate in their group
+leave at once, and what goes on is as large as the near copies are. Groups over ``PRUNE`` members keep all.
+
+Round 1 verifies one pair for each node, with the smallest node it has as a candidate; round 2 up to
+``NEAREST`` pairs a node, with the nearest by longer sketches among other components; the last round all
+candidates of different components, in blocks of ``BLOCK`` members, dealt over tasks by pairs of blocks.
+Every pair is verified once, with the suffix filter before the full intersection. No link between
+components is lost: whatever shares a prefix n-gram is joined already, tested, or ruled out by a filter.
 """
 
 from __future__ import annotations
@@ -40,8 +41,15 @@ CLASSES[[0x20, *range(0x09, 0x0E)]] = 0
 CELL_BITS = 20
 SLICES = 64
 GROUP_MEMBERS = 512
-PARITY = 512
+# Bits of the sketch that travels with a prefix n-gram, by the size of the set; those of later rounds are LONGER.
+SKETCH = (128, 512)
+LONGER = 4
+PRUNE = 512
 NEIGHBOURS = 48
+NEAREST = 4
+BLOCK = 1024
+# Rows of one task that are worked at a time; members of a longer group are all kept for the last round.
+SLAB = 1 << 16
 
 
 def shingle_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -131,27 +139,39 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return int((a[at] == b).sum()) >= need
 
 
-def _by_token(members: DataFrame, work, schema: str) -> DataFrame:
-    """Runs ``work(token, *columns)`` over whole groups of one token; rows come sorted by size and node."""
+def _by_token(members: DataFrame, work, schema: str, slab: int | None = SLAB) -> DataFrame:
+    """Runs ``work(torn, token, *columns)`` over groups of one token; rows come sorted by node.
+
+    Several groups are worked at once. With ``slab`` a group of more rows comes in pieces, and ``torn`` holds its token.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        rows = 0
+        torn: set[int] = set()
         for batch in batches:
+            if not batch.num_rows:
+                continue
             held.append(batch)
-            tokens = batch.column(0).to_numpy()
-            if len(tokens) and tokens[0] == tokens[-1] and held[0].column(0)[0].as_py() == tokens[0]:
-                continue  # one group still
+            rows += batch.num_rows
+            if rows < SLAB:
+                continue
+            first, last = held[0].column(0)[0].as_py(), batch.column(0)[-1].as_py()
             table = pa.Table.from_batches(held).combine_chunks()
-            cut = int(np.searchsorted(table.column(0).to_numpy(), tokens[-1]))
-            if cut:
-                yield from work(*[c.to_numpy() for c in table.slice(0, cut).columns])
-            held = table.slice(cut).to_batches()
-        if held:
-            table = pa.Table.from_batches(held)
-            if table.num_rows:
-                yield from work(*[c.to_numpy() for c in table.columns])
-
-    ordered = members.repartition("token").sortWithinPartitions("token", "n", "node")
+            cut = int(np.searchsorted(table.column(0).to_numpy(), last))
+            if first == last:
+                if slab is None:
+                    continue  # one group still
+                torn.add(last)
+                cut = rows
+            yield from work(torn, *[c.to_numpy() for c in table.slice(0, cut).columns])
+            torn &= {last}
+            held = table.slice(cut).to_batches() if cut < rows else []
+            rows -= cut
+        if rows:
+            yield from work(torn, *[c.to_numpy() for c in pa.Table.from_batches(held).combine_chunks().columns])
+
+    ordered = members.repartition("token").sortWithinPartitions("token", "node")
     return ordered.mapInArrow(run, schema)
 
 
@@ -164,74 +184,144 @@ def _groups(token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.concatenate([starts[1:], [len(token)]])
 
 
-def _pivots(percent: int):
-    def work(token, node, n, pos) -> Iterator[pa.RecordBatch]:
-        starts, ends = _groups(token)
-        sizes = ends - starts
-        keep = np.repeat(sizes > 1, sizes)
-        pivot = np.repeat(starts, sizes)
-        wide = np.flatnonzero((sizes > 1) & (100 * n[starts] < percent * n[ends - 1]))
-        for a, b in zip(starts[wide].tolist(), ends[wide].tolist()):
-            own = a
-            for k in range(a, b):
-                if 100 * n[own] < percent * n[k]:
-                    own = k  # too small for this one and all that follow
-                pivot[k] = own
-        yield _batch("token node n pos pivot pivot_n pivot_pos", token[keep], node[keep], n[keep], pos[keep], node[pivot][keep], n[pivot][keep], pos[pivot][keep])
-
-    return work
+def sketch_size(n: int, percent: int) -> int:
+    """Bits of the sketch of a set of n: unlike sets differ in half of them, similar ones in fewer."""
+    apart = 2 * n * (100 - percent) // (100 + percent)
+    size = SKETCH[0]
+    while size < SKETCH[1] and size / 2 - 2 * size**0.5 <= apart:
+        size *= 2
+    return size
 
 
-def parity_bits(grams: np.ndarray) -> bytes:
-    """PARITY bits of a set; sets differ in at least as many n-grams as their bits differ."""
-    odd = np.bincount((grams & np.uint64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
+def parity_bits(grams: np.ndarray, size: int) -> bytes:
+    """``size`` bits of a set; sets differ in at least as many n-grams as their bits differ."""
+    odd = np.bincount((grams & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def _candidates(percent: int, width: int | None):
-    """Pairs (a, b) of different components: each member with the ``width`` next ones in hash order, or with all."""
+def folded(bits: bytes, times: int) -> bytes:
+    """The sketch of the same set with ``times`` fewer bits."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, np.uint8).reshape(times, -1), axis=0).tobytes()
+
+
+class Sketches:
+    """Parity sketches of several sizes; of two sizes the longer is folded to the shorter."""
+
+    def __init__(self, blobs: np.ndarray):
+        self.words = np.fromiter((len(b) // 8 for b in blobs), np.int64, len(blobs))
+        self.levels = {}
+        size = int(self.words.max())
+        held, table = np.zeros(0, np.int64), np.zeros((0, size), np.uint64)
+        while size >= int(self.words.min()):
+            own = np.flatnonzero(self.words == size)
+            exact = np.frombuffer(b"".join(blobs[own]), "<u8").reshape(len(own), size)
+            held, table = np.concatenate([held, own]), np.concatenate([table, exact])
+            place = np.zeros(len(blobs), np.int64)
+            place[held] = np.arange(len(held))
+            self.levels[size] = place, table
+            table = table[:, : size // 2] ^ table[:, size // 2 :]
+            size //= 2
+
+    def differ(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        level = np.minimum(self.words[i], self.words[j])
+        out = np.zeros(len(level), np.int64)
+        for size, (place, table) in self.levels.items():
+            at = np.flatnonzero(level == size)
+            if len(at):
+                out[at] = np.bitwise_count(table[place[i[at]]] ^ table[place[j[at]]]).sum(axis=1, dtype=np.int64)
+        return out
+
+
+def _candidates(i, j, n, pos, sketches: Sketches, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Those of the pairs that may link, and in how many bits they differ."""
+    need = least_overlap(n[i], n[j], percent)
+    # If this is the first n-gram they share, no more than what follows it is shared; if it is
+    # not, the pair came up at the first one, with more behind it. Covers the length filter.
+    yes = np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need
+    i, j, need = i[yes], j[yes], need[yes]
+    differ = sketches.differ(i, j)
+    yes = n[i] + n[j] - differ >= 2 * need
+    return i[yes], j[yes], differ[yes]
+
+
+def _tries(starts: np.ndarray, ends: np.ndarray, width) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs i < j inside the groups: all of groups of up to 32, else of each i the ``width(size)`` members behind it."""
+    sizes = ends - starts
+    for g in np.unique(sizes[(sizes > 1) & (sizes <= 32)]).tolist():
+        a, b = np.triu_indices(g, 1)
+        base = starts[sizes == g]
+        step = max(1, (1 << 19) // len(a))
+        for k in range(0, len(base), step):
+            yield (base[k : k + step, None] + a).ravel(), (base[k : k + step, None] + b).ravel()
+    for a, b in zip(starts[sizes > 32].tolist(), ends[sizes > 32].tolist()):
+        reach = width(b - a)
+        for i in range(a, b - 1):
+            j = np.arange(i + 1, min(b, i + 1 + reach))
+            yield np.full(len(j), i), j
+
+
+def _first(percent: int):
+    """Members that have a candidate in their group, and the smallest smaller node that is one (itself without)."""
+
+    def work(torn, token, node, n, pos, bits) -> Iterator[pa.RecordBatch]:
+        starts, ends = _groups(token)
+        whole = np.isin(token[starts], list(torn), invert=True) if torn else np.ones(len(starts), bool)
+        met = np.repeat((ends - starts > 1) | ~whole, ends - starts)
+        token, node, n, pos, bits = token[met], node[met], n[met].astype(np.int64), pos[met].astype(np.int64), bits[met]
+        if not len(token):
+            return
+        starts, ends = _groups(token)
+        pruned = ends - starts <= PRUNE
+        if torn:
+            pruned &= np.isin(token[starts], list(torn), invert=True)
+        sketches = Sketches(bits)
+        kept = np.repeat(~pruned, ends - starts)
+        pivot = np.arange(len(token))
+
+        def note(i: np.ndarray, j: np.ndarray) -> None:
+            kept[i] = kept[j] = True
+            fresh = pivot[j] == j
+            i, j = i[fresh], j[fresh]
+            pivot[j[::-1]] = i[::-1]  # pairs come with i rising, so the smallest is written last
+
+        for i, j in _tries(starts[pruned], ends[pruned], lambda size: size):
+            note(*_candidates(i, j, n, pos, sketches, percent)[:2])
+        for a, b in zip(starts[~pruned].tolist(), ends[~pruned].tolist()):
+            for i in range(a, min(b - 1, a + NEIGHBOURS)):
+                j = np.arange(i + 1, b)
+                j = j[pivot[j] == j]
+                note(*_candidates(np.full(len(j), i), j, n, pos, sketches, percent)[:2])
+        yield _batch("token node n pos pivot", token[kept], node[kept], n[kept].astype(np.int32), pos[kept].astype(np.int32), node[pivot][kept])
+
+    return work
+
 
-    def pairs(i: int, j: np.ndarray, node, n, pos, comp, words) -> np.ndarray:
-        """Those of ``j`` that may link with ``i``."""
-        j = j[comp[j] != comp[i]]
-        need = least_overlap(n[i], n[j], percent)
-        # If this is the first n-gram they share, no more than what follows it is shared; if it is
-        # not, the pair came up at the first one, with more behind it. Covers the length filter.
-        j, need = _keep(j, need, np.minimum(n[i] - pos[i], n[j] - pos[j]) >= need)
-        differ = np.bitwise_count(words[j] ^ words[i]).sum(axis=1, dtype=np.int64)
-        return j[n[i] + n[j] - differ >= 2 * need]
+def _pairs(percent: int, near: bool):
+    """Candidates (a, b, differ), a > b, of different components; near ones: of large groups only neighbours in node order."""
 
-    def work(token, node, n, pos, comp, bits) -> Iterator[pa.RecordBatch]:
+    def work(torn, token, node, n, pos, comp, side, bits) -> Iterator[pa.RecordBatch]:
         starts, ends = _groups(token)
-        words = np.frombuffer(b"".join(bits), "<u8").reshape(len(bits), -1)
-        n = n.astype(np.int64)
+        n, pos = n.astype(np.int64), pos.astype(np.int64)
+        sketches = Sketches(bits)
+        # A group of two blocks only pairs one with the other.
+        across = np.repeat(np.minimum.reduceat(side, starts) != np.maximum.reduceat(side, starts), ends - starts)
         out: list[tuple] = []
         held = 0
-        for a, b in zip(starts.tolist(), ends.tolist()):
-            if width is None:
-                tries = ((i, np.arange(i + 1, a + int(np.searchsorted(n[a:b], 100 * n[i] // percent, side="right")))) for i in range(a, b - 1))
-            else:
-                # The same order in every group, so that groups with the same members name the same pairs.
-                order = a + np.argsort(mix64(node[a:b].astype(np.uint64)))
-                tries = ((i, order[k + 1 : k + 1 + width]) for k, i in enumerate(order.tolist()))
-            for i, j in tries:
-                j = pairs(i, j, node, n, pos, comp, words)
-                if len(j):
-                    out.append((node[j], np.full(len(j), node[i])))
-                    held += len(j)
-                if held > 1 << 18:
-                    yield _batch("a b", *[np.concatenate(c) for c in zip(*out)])
-                    out, held = [], 0
+        for i, j in _tries(starts, ends, lambda size: NEIGHBOURS if near else size):
+            open_ = (comp[i] != comp[j]) & ~(across[i] & (side[i] == side[j]))
+            i, j, differ = _candidates(i[open_], j[open_], n, pos, sketches, percent)
+            if len(i):
+                out.append((node[j], node[i], differ))
+                held += len(i)
+            if held > 1 << 18:
+                yield _batch("a b differ", *[np.concatenate(c) for c in zip(*out)])
+                out, held = [], 0
         if out:
-            yield _batch("a b", *[np.concatenate(c) for c in zip(*out)])
+            yield _batch("a b differ", *[np.concatenate(c) for c in zip(*out)])
 
     return work
 
 
-def _keep(j: np.ndarray, need: np.ndarray, yes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return j[yes], need[yes]
-
-
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
     """(a, b) of the pairs that link. ``pairs`` (a, b) is distinct; texts go to b, cut into small groups."""
     spark = pairs.sparkSession
@@ -297,7 +387,7 @@ def link_rows(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
             keys.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None)
             cells = frequency.value[_cell(grams)]
             length = _prefix_length(len(grams), percent) if len(grams) else 0
-            bits.append(parity_bits(grams))
+            bits.append(parity_bits(grams, LONGER * sketch_size(len(grams), percent)))
             prefixes.append(grams[np.lexsort((grams, cells))[:length]].astype(np.int64).tobytes())
         blobs = [pa.array(c, pa.binary()) for c in (keys, prefixes, bits)]
         return [batch.column(0), batch.column(2), pa.array(sizes, pa.int32()), *blobs]
@@ -318,29 +408,30 @@ def link_rows(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
             F.first("prefix").alias("prefix"),
             F.first("bits").alias("bits"),
         )
-        .withColumn("node", F.expr("CAST(conv(substring(hex(key), 1, 15), 16, 10) AS bigint)"))
+        # Numbers are fixed by the file they are written to.
+        .withColumn("node", F.monotonically_increasing_id())
     )
     classes = keep_files(spark, classes, "classes")
     nodes = classes.select("node", F.col("one.doc_id").alias("doc_key"), F.col("one.text_key").alias("text_key"))
 
     def spread(batch: pa.RecordBatch) -> list:
         tokens = [np.frombuffer(b, np.int64) for b in batch.column(2).to_pylist()]
-        counts = [len(t) for t in tokens]
-        node, size = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        counts = np.array([len(t) for t in tokens], np.int64)
+        row = np.repeat(np.arange(len(counts)), counts)
+        bits = pa.array([folded(b, LONGER) for b in batch.column(3).to_pylist()], pa.binary())
         return [
-            pa.array(np.concatenate(tokens) if tokens else np.zeros(0, np.int64)),
-            pa.array(np.repeat(node, counts)),
-            pa.array(np.repeat(size, counts)),
-            pa.array(np.concatenate([np.arange(c) for c in counts]).astype(np.int32) if counts else np.zeros(0, np.int32)),
+            pa.array(np.concatenate([*tokens, np.zeros(0, np.int64)])),
+            batch.column(0).take(pa.array(row)),
+            batch.column(1).take(pa.array(row)),
+            pa.array((np.arange(len(row)) - (np.cumsum(counts) - counts)[row]).astype(np.int32)),
+            bits.take(pa.array(row)),
         ]
 
     index = map_batches(
-        classes.select("node", "n", "prefix"), spread, "token bigint, node bigint, n int, pos int"
+        classes.select("node", "n", "prefix", "bits"), spread, "token bigint, node bigint, n int, pos int, bits binary"
     )
     members = keep_files(
-        spark,
-        _by_token(index, _pivots(percent), "token bigint, node bigint, n int, pos int, pivot bigint, pivot_n int, pivot_pos int"),
-        "members",
+        spark, _by_token(index, _first(percent), "token bigint, node bigint, n int, pos int, pivot bigint"), "members"
     )
     # Texts of one document for each class that met another: the only ones that are compared.
     met = nodes.join(members.select("node").distinct(), "node")
@@ -348,22 +439,26 @@ def link_rows(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     texts = texts.join(met, texts.doc_id.eqNullSafe(met.doc_key) & (texts.key_of_text == met.text_key))
     texts = keep_files(spark, texts.select("node", "text"), "texts")
 
-    first = members.where("node <> pivot").groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(
-        F.min("pos").alias("ap"), F.min("pivot_pos").alias("bp"), F.first("n").alias("an"), F.first("pivot_n").alias("bn")
-    )
-    tested = keep_files(spark, _positional(first, percent), "tested")
+    first = members.where("node <> pivot").groupBy(F.col("node").alias("a")).agg(F.min("pivot").alias("b"))
+    tested = keep_files(spark, first, "tested")
     labels = components(_verified(tested, texts, n, percent))
-    for width in (NEIGHBOURS, None):
+    for near in (True, False):
         placed = members.join(labels, "node", "left").select(
             "token", "node", "n", "pos", F.coalesce("label", "node").alias("comp")
         )
         # Groups whose members are all in one component are done.
-        mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        placed = placed.join(mixed, "token", "left_semi").join(classes.select("node", "bits"), "node")
-        placed = placed.select("token", "node", "n", "pos", "comp", "bits")
-        pairs = _by_token(placed, _candidates(percent, width), "a bigint, b bigint").distinct()
+        mixed = placed.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
+        blocks = F.lit(1) if near else F.ceil(F.col("size") / BLOCK).cast("int")
+        mixed = mixed.where("lo <> hi").select("token", blocks.alias("blocks"))
+        placed = _in_blocks(placed.join(mixed, "token")).join(classes.select("node", "bits"), "node")
+        placed = placed.select("token", "node", "n", "pos", "comp", "side", "bits")
+        pairs = _by_token(placed, _pairs(percent, near), "a bigint, b bigint, differ bigint", SLAB if near else None)
         known = tested.union(tested.select("b", "a")).toDF("a", "b")
-        pairs = keep_files(spark, pairs.join(known, ["a", "b"], "left_anti"), "tested")
+        pairs = pairs.distinct().join(known, ["a", "b"], "left_anti")
+        if near:
+            nearest = F.slice(F.sort_array(F.collect_set(F.struct("differ", "b"))), 1, NEAREST)
+            pairs = pairs.groupBy("a").agg(nearest.alias("to")).select("a", F.inline("to")).drop("differ")
+        pairs = keep_files(spark, pairs.select("a", "b"), "tested")
         if pairs.limit(1).count():
             labels = components(_contracted(_verified(pairs, texts, n, percent), labels))
             tested = tested.unionByName(pairs)
@@ -388,8 +483,11 @@ def _contracted(links: DataFrame, labels: DataFrame) -> DataFrame:
     return links.select("a", "b").where("a <> b").distinct().unionByName(old)
 
 
-def _positional(pairs: DataFrame, percent: int) -> DataFrame:
-    """Pairs that can still overlap enough: nothing before the first shared n-gram is shared."""
-    most = F.least(F.col("an") - F.col("ap"), F.col("bn") - F.col("bp"))
-    need = F.expr(f"({percent} * (an + bn) + {99 + percent}) DIV {100 + percent}")
-    return pairs.where(most >= need).select("a", "b")
+def _in_blocks(placed: DataFrame) -> DataFrame:
+    """Members of groups of several ``blocks``, once for each pair of blocks that theirs is in, under a token of that pair."""
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    lone = placed.where("blocks = 1").withColumn("side", F.lit(0)).drop("blocks")
+    many = placed.where("blocks > 1").withColumn("side", block)
+    many = many.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pair = F.xxhash64("token", F.least("side", "other"), F.greatest("side", "other"))
+    return lone.unionByName(many.withColumn("token", pair).drop("blocks", "other"))
