@@ -139,10 +139,11 @@ def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return int((a[at] == b).sum()) >= need
 
 
-def _by_token(members: DataFrame, work, schema: str, slab: int | None = SLAB) -> DataFrame:
+def _by_token(members: DataFrame, work, schema: str, slab: int = SLAB, whole: bool = False) -> DataFrame:
     """Runs ``work(torn, token, *columns)`` over groups of one token; rows come sorted by node.
 
-    Several groups are worked at once. With ``slab`` a group of more rows comes in pieces, and ``torn`` holds its token.
+    Several groups are worked at once, about ``slab`` rows. A group of more rows comes in pieces, and ``torn`` holds its
+    token, unless groups shall be ``whole``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,13 +155,13 @@ def _by_token(members: DataFrame, work, schema: str, slab: int | None = SLAB) ->
                 continue
             held.append(batch)
             rows += batch.num_rows
-            if rows < SLAB:
+            if rows < slab:
                 continue
             first, last = held[0].column(0)[0].as_py(), batch.column(0)[-1].as_py()
             table = pa.Table.from_batches(held).combine_chunks()
             cut = int(np.searchsorted(table.column(0).to_numpy(), last))
             if first == last:
-                if slab is None:
+                if whole:
                     continue  # one group still
                 torn.add(last)
                 cut = rows
@@ -452,7 +453,7 @@ def link_rows(df: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
         mixed = mixed.where("lo <> hi").select("token", blocks.alias("blocks"))
         placed = _in_blocks(placed.join(mixed, "token")).join(classes.select("node", "bits"), "node")
         placed = placed.select("token", "node", "n", "pos", "comp", "side", "bits")
-        pairs = _by_token(placed, _pairs(percent, near), "a bigint, b bigint, differ bigint", SLAB if near else None)
+        pairs = _by_token(placed, _pairs(percent, near), "a bigint, b bigint, differ bigint", whole=not near)
         known = tested.union(tested.select("b", "a")).toDF("a", "b")
         pairs = pairs.distinct().join(known, ["a", "b"], "left_anti")
         if near:

@@ -211,6 +211,76 @@ def test_ngram_join_of_many_near_copies(spark):
     assert {r.component_id for r in got.collect()} == {0}
 
 
+def test_ngram_join_of_frequent_ngrams(spark, monkeypatch):
+    """Unlike documents that share every n-gram with hundreds of others: groups beyond PRUNE, the last round in blocks."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 64)
+    rng = np.random.default_rng(3)
+    sets = [frozenset(rng.choice(20, 7, replace=False).tolist()) for _ in range(1800)]
+    assert min(sum(w in s for s in set(sets)) for w in range(20)) > ngram_join.PRUNE
+    label = list(range(len(sets)))
+
+    def top(k):
+        while label[k] != k:
+            k = label[k]
+        return k
+
+    for a in range(len(sets)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 6:  # 6 of 8, or all 7
+                lo, hi = sorted((top(a), top(b)))
+                label[hi] = lo
+    rows = [(k, " ".join(f"w{w}" for w in s)) for k, s in enumerate(sets)]
+    got = ngram_join.link_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), 1, 75)
+    assert sorted((r.doc_id, r.component_id) for r in got.collect()) == [(k, top(k)) for k in range(len(sets))]
+    assert 100 < len({top(k) for k in range(len(sets))}) < 1700
+
+
+def test_ngram_join_pieces_of_long_groups(spark):
+    rows = [(t, k) for t, many in ((1, 3), (2, 900), (3, 2), (4, 400), (5, 1)) for k in range(many)]
+
+    def work(torn, token, node):
+        for t in np.unique(token):
+            yield ngram_join._batch("token rows torn", token[token == t][:1], np.array([(token == t).sum()]), np.array([int(t) in torn]))
+
+    members = spark.createDataFrame(rows, "token bigint, node bigint").coalesce(1)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        for whole in (False, True):
+            got = ngram_join._by_token(members, work, "token bigint, rows bigint, torn boolean", 100, whole).collect()
+            total = {t: sum(r.rows for r in got if r.token == t) for t in range(1, 6)}
+            assert total == {1: 3, 2: 900, 3: 2, 4: 400, 5: 1}
+            pieces = {t: [r for r in got if r.token == t] for t in total}
+            for t, own in pieces.items():
+                assert all(r.torn for r in own) if len(own) > 1 else not own[0].torn
+            assert (len(pieces[2]) > 1) != whole
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_ngram_join_sketches_never_rule_out_similar_sets():
+    rng = np.random.default_rng(5)
+    for percent in (80, 90):
+        for size in (1, 9, 40, 300, 900, 5000):
+            base = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+            grams, long = [np.unique(base)], []
+            for _ in range(20):
+                cut = rng.permutation(base)[: size - int(rng.integers(0, max(1, size // 12) + 1))]
+                grams.append(np.unique(np.concatenate([cut, rng.integers(0, 1 << 63, int(rng.integers(0, max(1, size // 12) + 1)), dtype=np.uint64)])))
+            for g in grams:
+                long.append(ngram_join.parity_bits(g, ngram_join.LONGER * ngram_join.sketch_size(len(g), percent)))
+            short = [ngram_join.folded(b, ngram_join.LONGER) for b in long]
+            assert short == [ngram_join.parity_bits(g, ngram_join.sketch_size(len(g), percent)) for g in grams]
+            n = np.array([len(g) for g in grams])
+            i, j = np.triu_indices(len(grams), 1)
+            linked = {(a, b) for a, b in zip(i.tolist(), j.tolist()) if 100 * len(np.intersect1d(grams[a], grams[b])) >= percent * len(np.union1d(grams[a], grams[b]))}
+            for blobs in (long, short):
+                held = np.empty(len(blobs), object)
+                held[:] = blobs
+                a, b, _ = ngram_join._candidates(i, j, n, np.zeros_like(n), ngram_join.Sketches(held), percent)
+                assert linked <= set(zip(a.tolist(), b.tolist()))
+
+
 def test_secrets(docs, none):
     text = 'x password = "hunter22hunter" AKIAABCDEFGHIJKL ' + "0af" * 12 + " k9Fz2LqW8xT4vB7nM1cR token:short"
     found = secret_scan.find_secrets(text)
