@@ -13,10 +13,11 @@ one document. A null text is an empty one and stays until the last stage.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickmetrics.llm import decontaminate, ngram_join, secret_scan, sentence_pieces, toxicity
+from clickmetrics.llm.common import keep_files
 from clickmetrics.llm.queries import table
 from clickmetrics.session import work_folder
 
@@ -33,19 +34,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _rows(docs)
-    linked = ngram_join.link_rows(rows, n=5, percent=80).select("doc_id", "text_key", "component").distinct()
+    linked = ngram_join.link_rows(rows, n=5, percent=80).groupBy("doc_id", "text_key", "component").agg(F.count("*").alias("rows"))
     # Of a component stays one row, of the smallest doc_id and then the smallest text; null ids come last.
     # Rows without words are no copies of anything.
+    linked = keep_files(spark, linked, "linked")
     least = linked.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
     kept = linked.join(least, "component", "left").where("component IS NULL OR doc_id <=> least")
-    kept = kept.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "component")
+    kept = kept.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "component", "rows")
+    lone = F.col("component").isNull()
+    alike = ["component", F.when(lone, F.col("id")), F.when(lone, F.col("key"))]
+    left = F.sum("rows").over(Window.partitionBy(*alike))
+    kept = keep_files(spark, kept.withColumn("left", left).drop("rows"), "kept")
     keyed = rows.withColumn("own_key", F.xxhash64("text"))
     mine = keyed.join(kept, F.expr("CAST(doc_id AS bigint)").eqNullSafe(F.col("id")) & (F.col("own_key") == F.col("key")))
-    lone = F.col("component").isNull()
-    one = mine.groupBy("component", F.when(lone, F.col("id")), F.when(lone, F.col("key"))).agg(
-        F.min_by("row", F.struct(F.coalesce("text", F.lit("")))).alias("row")
-    )
-    return one.select("row.*")
+    # Only rows that others could replace are grouped; the rest, nearly all, have moved once.
+    one = mine.where("left > 1").groupBy(*alike).agg(F.min_by("row", F.struct(F.coalesce("text", F.lit("")))).alias("row"))
+    return mine.where("left = 1").select("row").unionByName(one.select("row")).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
