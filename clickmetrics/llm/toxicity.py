@@ -2,13 +2,14 @@
 
 Two words are alike as far as they share letter pairs in order, near or with others between: a pair
 at distance g weighs DECAY ** (g + 1). So an insult with letters put in or drawn apart stays near its
-plain form. The normalised kernel goes through a Gaussian; Nyström landmarks (words of the training
-sentences) turn it into a short vector, on which a linear machine with squared hinge loss is trained.
+plain form. The normalised kernel goes through a Gaussian; Nyström landmarks (windows of the training
+texts) turn it into a short vector, on which a linear machine with squared hinge loss is trained.
 A sentence counts as toxic as its most toxic word, a text as its most toxic sentence.
 
-Training takes a sample of labelled rows bounded by ``SAMPLE`` for each label, and from it word
-counts bounded by ``WORDS``; both are parameters. Scoring is one pass over all rows, with no shuffle
-as rows are independent. Words met before are kept, up to a bound.
+Examples are windows of the labelled texts (words, long ones in stretches) with the label of their
+text; a text's windows share its weight. All windows of the sample take part, in tasks; the driver
+gets sums. The sample is bounded by the parameter ``SAMPLE`` for each label. Scoring is one pass over
+all rows, with no shuffle as rows are independent. Words met before are kept, up to a bound.
 """
 
 from __future__ import annotations
@@ -24,17 +25,21 @@ from pyspark.sql import types as T
 from clickmetrics.llm.common import CACHE_CHARS, CACHE_WORDS, keep_files, map_batches
 
 SAMPLE = 3000
-WORDS = 4000
 FOLDS = 5
 LANDMARKS = 128
 DECAY = 0.7
 GAP = 6
 LETTERS = 40
 SPAN = 32
+# Letters of a window in training; with its two marks it fills SPAN.
+STRETCH = SPAN - 2
 SIGN = 99
 SHARPNESS = 10.0
 STEEP = 4.0
-ROUNDS = 3
+# Newton steps at most, the weight of the solution's length, and of all examples of a label.
+STEPS = 20
+RIDGE = 1e-2
+WEIGHT = 100
 COST = 10
 LOWEST = -4.0
 # Words whose letter pairs are in memory at once.
@@ -85,7 +90,7 @@ class Model:
     """Landmark words and the weight of each one's kernel value."""
 
     def __init__(self, landmarks: list[str], weights: np.ndarray, bias: float) -> None:
-        self.features = pair_features(landmarks)[0]
+        self.landmarks, self.features = landmarks, pair_features(landmarks)[0]
         self.weights, self.bias = weights.astype(np.float32), float(bias)
         self.known: dict[str, float] = {}
 
@@ -128,12 +133,23 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
-def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, words: int = WORDS) -> Model | None:
+def windows_of(text: str) -> list[str]:
+    """The distinct windows that a text is learnt from: its words in normal form, long ones in stretches that overlap."""
+    forms = {normal(w) for w in text.split()} | {normal(m[0].replace(" ", "")) for m in APART.finditer(text)}
+    out = set()
+    for form in forms:
+        for at in range(0, max(1, len(form) - STRETCH // 2), STRETCH // 2):
+            out.add(form[at : at + STRETCH])
+    return sorted(out - {""})
+
+
+def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | None:
     """A model from labelled rows that are not held out; None if there are not both labels.
 
     Takes at most ``sample`` documents of each label, by a hash of doc_id. A document labelled both
     ways counts as toxic. Only doc_id and toxic of ``labels`` and doc_id and text of ``documents`` are read.
     """
+    spark = documents.sparkSession
     marked = (
         labels.select("doc_id", "toxic")
         .where("doc_id IS NOT NULL AND toxic IN (0, 1)")
@@ -148,54 +164,119 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, words:
     # At most 2 * sample rows.
     texts = documents.select("doc_id", "text").join(F.broadcast(some), "doc_id").where("text IS NOT NULL")
     # Equal texts tell no more than one of them; all others stay.
-    texts = texts.select("toxic", "text").distinct()
-    lists = texts.select("toxic", F.array_distinct(F.split(F.lower("text"), r"\s+")).alias("words"))
-    lists = keep_files(documents.sparkSession, lists, "toxic-words")
-    sizes = {r["toxic"]: r["count"] for r in lists.groupBy("toxic").count().collect()}
+    texts = texts.groupBy("text").agg(F.max("toxic").cast("int").alias("toxic"))
+
+    def cut(batch: pa.RecordBatch) -> list:
+        own = [windows_of(t) for t in batch.column(1).to_pylist()]
+        return [batch.column(0), pa.array(own, pa.list_(pa.string()))]
+
+    bags = map_batches(texts.select("toxic", "text"), cut, "toxic int, windows array<string>").where("size(windows) > 0")
+    bags = keep_files(spark, bags, "toxic-bags")
+    sizes = {r["toxic"]: r["count"] for r in bags.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return None
+    part = 1 / F.size("windows")
     counted = (
-        lists.select("toxic", F.explode("words").alias("word"))
-        .groupBy("word")
-        .agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
-        .where("length(word) BETWEEN 2 AND 64")
+        bags.select("toxic", F.explode("windows").alias("window"), part.alias("part"))
+        .groupBy("window")
+        .agg(
+            F.sum("toxic").alias("t"),
+            F.sum(1 - F.col("toxic")).alias("c"),
+            (F.sum(F.col("toxic") * F.col("part")) / sizes[1]).alias("toxic"),
+            (F.sum((1 - F.col("toxic")) * F.col("part")) / sizes[0]).alias("clean"),
+        )
     )
-    counted = keep_files(documents.sparkSession, counted, "toxic-counts")
-    share = F.col("t") / sizes[1] - F.col("c") / sizes[0]
-    toxic = counted.where(F.col("t") > 1).orderBy(F.desc(share), "word").limit(words)
-    common = counted.where(F.col("c") > 0).orderBy(F.desc("c"), "word").limit(words)
-    mixed = counted.where(F.col("c") > 0).orderBy(F.xxhash64("word"), "word").limit(words)
-    # At most words rows each, a word and two counts.
-    rows = toxic.union(common).union(mixed).distinct().collect()
-    model = fit(rows, sizes[1], sizes[0])
-    for _ in range(ROUNDS if model else 0):
-        # Words of clean documents that still look toxic are the next ones to learn from.
-        rows += _decided(counted.where("c > 0"), model).orderBy(F.desc("value"), "word").limit(words).collect()
-        model = fit(rows, sizes[1], sizes[0])
-    if model:
-        model.bias -= _threshold(_highest(lists, model).collect())
+    counted = keep_files(spark, counted, "toxic-windows")
+    probe = Model(_landmarks(counted, sizes), np.zeros(LANDMARKS), 0.0)
+    own, _ = probe.kernel(probe.landmarks)
+    values, vectors = np.linalg.eigh(own.astype(np.float64))
+    nystrom = vectors / np.sqrt(np.maximum(values, 1e-6))
+    solution = _solve(keep_files(spark, _mapped(counted, probe, nystrom), "toxic-mapped"), len(nystrom) + 1)
+    model = Model(probe.landmarks, nystrom @ solution[:-1], solution[-1])
+    model.bias -= _threshold(_highest(bags, model).collect())  # one row a training text
     return model
 
 
+def _landmarks(counted: DataFrame, sizes: dict[int, int]) -> list[str]:
+    """Windows that toxic texts hold more often, clean ones that resemble them, and any others."""
+    share = F.col("t") / sizes[1] - F.col("c") / sizes[0]
+    marks = [r["window"] for r in counted.orderBy(F.desc(share), "window").limit(LANDMARKS // 2).collect()]
+    clean = counted.where((share < 0) & ~F.col("window").isin(marks))
+    alike = _decided(clean, Model(marks, np.ones(len(marks)), 0.0)).orderBy(F.desc("value"), "window")
+    marks += [r["window"] for r in alike.limit(LANDMARKS // 4).collect()]
+    rest = counted.where(~F.col("window").isin(marks)).orderBy(F.xxhash64("window"), "window")
+    return marks + [r["window"] for r in rest.limit(LANDMARKS - len(marks)).collect()]
+
+
 def _decided(counted: DataFrame, model: Model) -> DataFrame:
     def work(batch: pa.RecordBatch) -> list:
-        values = model.decide([normal(w) for w in batch.column(0).to_pylist()])
-        return [batch.column(0), batch.column(1), batch.column(2), pa.array(values, pa.float64())]
+        return [batch.column(0), pa.array(model.decide(batch.column(0).to_pylist()), pa.float64())]
+
+    return map_batches(counted.select("window"), work, "window string, value double")
+
+
+def _mapped(counted: DataFrame, probe: Model, nystrom: np.ndarray) -> DataFrame:
+    """The weights of each window and its Nyström vector in half precision."""
+
+    def work(batch: pa.RecordBatch) -> list:
+        windows, vectors = batch.column(2).to_pylist(), []
+        for lo in range(0, len(windows), PIECE):  # the letter pairs of all windows at once would be far more than their maps
+            kernel, _ = probe.kernel(windows[lo : lo + PIECE])
+            vectors += [v.tobytes() for v in (kernel @ nystrom).astype(np.float16)]
+        return [batch.column(0), batch.column(1), pa.array(vectors, pa.binary())]
 
-    return map_batches(counted.select("word", "t", "c"), work, "word string, t bigint, c bigint, value double")
+    return map_batches(counted.select("toxic", "clean", "window"), work, "toxic double, clean double, vector binary")
 
 
-def _highest(lists: DataFrame, model: Model) -> DataFrame:
-    """The decision value of each training text: of its most toxic word."""
+def _solve(mapped: DataFrame, width: int) -> np.ndarray:
+    """Minimises RIDGE * |w|^2 / 2 + sum(weight * max(0, 1 - sign * x.w)^2) / 2 by Newton steps.
+
+    A window is an example of each label that its texts have, weighted by its share of them, so that texts
+    count alike and labels too. A step is one pass over the windows; a task answers with one row of sums.
+    """
+    penalty = RIDGE * np.eye(width)
+    penalty[-1, -1] = 1e-6
+    w = np.zeros(width)
+    for _ in range(STEPS):
+
+        def sums(batches, w=w):
+            gradient, curve = np.zeros(width), np.zeros((width, width))
+            for batch in batches:
+                x = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.float16).reshape(batch.num_rows, -1)
+                x = np.hstack([x.astype(np.float64), np.ones((batch.num_rows, 1))])
+                value = x @ w
+                for sign, column in ((1.0, 0), (-1.0, 1)):
+                    weight = batch.column(column).to_numpy()
+                    slack = 1 - sign * value
+                    active = (slack > 0) & (weight > 0)
+                    xa = x[active] * (WEIGHT * weight[active])[:, None]
+                    gradient -= xa.T @ (sign * slack[active])
+                    curve += xa.T @ x[active]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([gradient.tobytes()], pa.binary()), pa.array([curve.tobytes()], pa.binary())], names=["gradient", "curve"]
+            )
+
+        gradient, curve = penalty @ w, penalty.copy()
+        for r in mapped.mapInArrow(sums, "gradient binary, curve binary").collect():
+            gradient += np.frombuffer(r["gradient"])
+            curve += np.frombuffer(r["curve"]).reshape(curve.shape)
+        step = np.linalg.solve(curve, gradient)
+        w = w - step
+        if np.abs(step).max() < 1e-3:
+            break
+    return w
+
+
+def _highest(bags: DataFrame, model: Model) -> DataFrame:
+    """The decision value of each training text: of its most toxic window."""
 
     def work(batch: pa.RecordBatch) -> list:
-        lists = [[normal(w) for w in words] for words in batch.column(1).to_pylist()]
-        forms = list(set().union(*lists))
-        value = dict(zip(forms, model.decide(forms).tolist()))
-        out = [max((value[w] for w in words), default=LOWEST) for words in lists]
-        return [batch.column(0).cast(pa.int32()), pa.array(out, pa.float64())]
+        lists = batch.column(1).to_pylist()
+        windows = sorted(set().union(*lists))
+        value = dict(zip(windows, model.decide(windows).tolist()))
+        return [batch.column(0), pa.array([max(value[v] for v in own) for own in lists], pa.float64())]
 
-    return map_batches(lists.select("toxic", "words"), work, "toxic int, value double")
+    return map_batches(bags, work, "toxic int, value double")
 
 
 def _threshold(rows: list) -> float:
@@ -214,63 +295,6 @@ def _threshold(rows: list) -> float:
     return float(cuts[best[int(np.argmax(room))]])
 
 
-def fit(rows: list, toxic_docs: int, clean_docs: int) -> Model | None:
-    """From rows (word, t, c): in how many training texts of either label a word stands."""
-    counts: dict[str, tuple[int, int]] = {}
-    for word, (t, c) in {r["word"]: (r["t"], r["c"]) for r in rows}.items():
-        form = normal(word)
-        if len(form) > 1:
-            seen = counts.get(form, (0, 0))
-            counts[form] = (seen[0] + t, seen[1] + c)
-    least = max(3, toxic_docs // 50)
-    ratio = lambda t, c: ((t + 0.5) / (toxic_docs + 1)) / ((c + 0.5) / (clean_docs + 1))
-    counts = {w: n for w, n in counts.items() if len(w) <= SPAN // 2}
-    bad = sorted((w for w, (t, c) in counts.items() if t >= least and ratio(t, c) > 8), key=lambda w: (-counts[w][0], w))
-    good = sorted(w for w, (t, c) in counts.items() if c and ratio(t, c) < 4)
-    if not bad or not good:
-        return None
-    rng = np.random.default_rng(0)
-    marks = bad[: LANDMARKS // 2]
-    near = Model(marks, np.ones(len(marks)), 0.0).decide(good)
-    marks += [good[k] for k in np.argsort(-near, kind="stable")[: LANDMARKS // 4]]
-    rest = sorted(set(good) - set(marks))
-    marks += [rest[k] for k in rng.permutation(len(rest))[: LANDMARKS - len(marks)]]
-    probe = Model(marks, np.zeros(len(marks)), 0.0)
-    own, _ = probe.kernel(marks)
-    values, vectors = np.linalg.eigh(own.astype(np.float64))
-    nystrom = vectors / np.sqrt(np.maximum(values, 1e-6))
-    words = bad + good
-    parts = []
-    for lo in range(0, len(words), PIECE):  # the letter pairs of all words at once would be far more than their maps
-        kernel, owner = probe.kernel(words[lo : lo + PIECE])
-        parts.append((np.hstack([kernel @ nystrom, np.ones((len(kernel), 1))]), lo + owner))
-    mapped, owner = map(np.concatenate, zip(*parts))
-    sign = np.where(owner < len(bad), 1.0, -1.0)
-    # Each label weighs the same in total; toxic words by the documents they mark.
-    weight = np.array([counts[w][0] for w in bad] + [1.0] * len(good), float)[owner]
-    for label in (1.0, -1.0):
-        weight[sign == label] /= weight[sign == label].sum()
-    solution = _squared_hinge(mapped, sign, weight * 100)
-    return Model(marks, nystrom @ solution[:-1], solution[-1])
-
-
-def _squared_hinge(x: np.ndarray, sign: np.ndarray, weight: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Minimises ridge * |w|^2 / 2 + sum(weight * max(0, 1 - sign * x.w)^2) / 2 by Newton steps."""
-    w = np.zeros(x.shape[1])
-    penalty = ridge * np.eye(x.shape[1])
-    penalty[-1, -1] = 1e-6
-    for _ in range(30):
-        slack = 1 - sign * (x @ w)
-        active = slack > 0
-        xa = x[active] * weight[active, None]
-        gradient = penalty @ w - xa.T @ (sign[active] * slack[active])
-        step = np.linalg.solve(penalty + xa.T @ x[active], gradient)
-        w -= step
-        if np.abs(step).max() < 1e-9:
-            break
-    return w
-
-
 _models: dict[int, Model] = {}
 
 

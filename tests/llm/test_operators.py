@@ -384,6 +384,46 @@ def test_toxicity_learns_from_all_texts_that_differ(spark):
     assert sum(r.predicted == int(r.doc_id % 4 == 0) for r in got) >= 0.9 * len(got) > 0
 
 
+def test_toxicity_learns_long_words_and_scripts_without_blanks(spark):
+    """Insults inside long words, and rare ones: no window is too long or too rare to be learnt from."""
+    rng = random.Random(6)
+    letters = "的一是不了人我在有他这中大来上国个到说们为子和你地出道也时年"
+    rows = []
+    for k in range(400):
+        text = "".join(rng.choice(letters) for _ in range(20))
+        if k % 4 == 0:
+            text = text[:8] + "混蛋混蛋" + text[8:]
+        rows.append((k, text))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(400)], "doc_id bigint, toxic int")
+    got = toxicity.score_documents(docs, labels).where("held_out").collect()
+    hits = [r.predicted for r in got if r.doc_id % 4 == 0]
+    clean = [r.predicted for r in got if r.doc_id % 4]
+    assert sum(hits) / len(hits) > 0.5 > 0.2 > sum(clean) / len(clean)
+    assert max(map(len, toxicity.windows_of("x" * 500 + " y"))) == toxicity.STRETCH
+    assert "".join(toxicity.windows_of("short Words.")) == "shortwords"
+
+
+def test_toxicity_kernel_equals_plain_sums():
+    def pairs(word):
+        codes, out = toxicity._codes(word), {}
+        for i, a in enumerate(codes):
+            for j in range(i + 1, min(len(codes), i + toxicity.GAP + 1)):
+                if toxicity.SIGN not in (a, codes[j]):
+                    out[a, codes[j]] = out.get((a, codes[j]), 0) + toxicity.DECAY ** (j - i + 1)
+        return out
+
+    words = ["idiot", "idi-ot", "id1ot", "über", "執行", "a", "abcabcabc"]
+    features, owner = toxicity.pair_features(words)
+    assert owner.tolist() == list(range(len(words)))
+    for i, x in enumerate(words):
+        for j, y in enumerate(words):
+            p, q = pairs(x), pairs(y)
+            dot = sum(v * q.get(k, 0) for k, v in p.items())
+            norm = math.sqrt(sum(v * v for v in p.values()) * sum(v * v for v in q.values()))
+            assert features[i] @ features[j] == pytest.approx(dot / norm, abs=1e-5)
+
+
 def test_pipeline(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
