@@ -239,13 +239,15 @@ class Counter:
             return a[0], a[1], a[2] + b[0]
         return a[0], a[1] + b[1] + self[a[2] + b[0]], b[2]
 
-    def scan(self, maps: list[tuple[str, int, str | None]]) -> list[tuple[str, int, str | None]]:
-        """All prefixes of the chunk maps, by doubling: step k composes with what lies 2**k before."""
-        maps, step = list(maps), 1
-        while step < len(maps):
-            maps = maps[:step] + [self.compose(a, b) for a, b in zip(maps, maps[step:])]
-            step *= 2
-        return maps
+    def whole(self, maps: list[tuple[str, int, str | None]]) -> tuple[str, int, str | None]:
+        """The map of all chunks: the rising half of a prefix scan, neighbours by neighbours.
+
+        The other prefixes are not wanted; of a text without a blank each would hold all that is before it.
+        """
+        maps = list(maps)
+        while len(maps) > 1:
+            maps = [self.compose(*maps[k : k + 2]) if k + 1 < len(maps) else maps[k] for k in range(0, len(maps), 2)]
+        return maps[0]
 
     def close(self, whole: tuple[str, int, str | None]) -> int:
         return self[whole[0]] + whole[1] + (self[whole[2]] if whole[2] is not None else 0)
@@ -305,8 +307,7 @@ def count_tokens(df: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT,
         own = counter(tokenizer)
         totals = []
         for maps in batch.column(2).to_pylist():
-            whole = own.scan([(m["head"], m["n"], m["tail"]) for m in maps])[-1]
-            totals.append(own.close(whole))
+            totals.append(own.close(own.whole([(m["head"], m["n"], m["tail"]) for m in maps])))
         return [batch.column(0), batch.column(1), pa.array(totals, pa.int64())]
 
     counted = map_batches(gathered, work, "key string, copies bigint, n_tokens bigint")
