@@ -71,12 +71,11 @@ def entropy_spans(run: str, window: int = WINDOW, threshold: float | None = None
     return spans
 
 
-def _free(text: str, start: int, end: int, known: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-    """Parts of the run from ``start`` to ``end`` beside known spans, placeholders and what the allow-list knows."""
-    cuts = [(a, b) for a, b, _ in known if a < end and start < b]
-    cuts += [m.span() for m in PLACEHOLDER.finditer(text, start, end)]
+def _free(text: str, start: int, end: int, known: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Parts of the run from ``start`` to ``end`` beside its known spans, placeholders and what the allow-list knows."""
+    cuts = [m.span() for m in PLACEHOLDER.finditer(text, start, end)]
     free, at = [], start
-    for a, b in [*sorted(cuts), (end, end)]:
+    for a, b in [*sorted(cuts + known), (end, end)]:
         part = text[at:a].strip("-_/=+")
         if part and not ALLOWED.fullmatch(part):
             free.append((at, a))
@@ -84,6 +83,31 @@ def _free(text: str, start: int, end: int, known: list[tuple[int, int, str]]) ->
     return free
 
 
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """In order, those that overlap as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a < out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _common(left: list[tuple[int, int]], right: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Where spans of two ordered lists overlap, in one walk over both."""
+    out, i, j = [], 0, 0
+    while i < len(left) and j < len(right):
+        a, b = max(left[i][0], right[j][0]), min(left[i][1], right[j][1])
+        if a < b:
+            out.append((a, b))
+        if left[i][1] < right[j][1]:
+            i += 1
+        else:
+            j += 1
+    return out
+
+
 def find_secrets(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, kind) by start, then kind; code points, end exclusive. A null text has none."""
     if not text:
@@ -92,14 +116,20 @@ def find_secrets(text: str | None) -> list[tuple[int, int, str]]:
     if "AKIA" in text:
         found += [(*m.span(), "access") for m in ACCESS.finditer(text) if len(m[0]) >= MIN_ACCESS]
     found += [(*m.span(), "hex") for m in HEX.finditer(text)]
-    known = list(found)
+    known, at = _merged([(a, b) for a, b, _ in found]), 0
     for m in CANDIDATE.finditer(text):
+        # Runs and known spans both go on to the right, so each is passed once.
+        while at < len(known) and known[at][1] <= m.start():
+            at += 1
         if ALLOWED.fullmatch(m[0]):
             continue
         spans = [(a + m.start(), b + m.start()) for a, b in entropy_spans(m[0])]
         if spans:
-            free = _free(text, m.start(), m.end(), known)
-            found += [(max(a, c), min(b, d), "entropy") for a, b in spans for c, d in free if a < d and c < b]
+            last = at
+            while last < len(known) and known[last][0] < m.end():
+                last += 1
+            free = _free(text, m.start(), m.end(), known[at:last])
+            found += [(a, b, "entropy") for a, b in _common(spans, free)]
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
