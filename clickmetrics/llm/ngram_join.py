@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickmetrics.llm.common import chain_hash, keep_files, map_batches, mix64, text_bytes, words_of
+from clickmetrics.llm.common import chain_hash, forget, keep_files, map_batches, mix64, text_bytes, words_of
 from clickmetrics.llm.components import components
 
 # A document's words are runs of anything but blanks; A-Z count as a-z. Values are bytes plus one.
@@ -77,6 +77,7 @@ def gram_frequencies(df: DataFrame, n: int) -> np.ndarray:
     size = (1 << CELL_BITS) // SLICES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         cells = np.zeros(1 << CELL_BITS, np.int64)
         held: list[np.ndarray] = []
         waiting = 0

@@ -18,11 +18,12 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickmetrics.llm.common import CACHE_CHARS, CACHE_WORDS, keep_files, map_batches
+from clickmetrics.llm.common import CACHE_CHARS, CACHE_WORDS, keep_files, kept, map_batches
 
 SAMPLE = 3000
 FOLDS = 5
@@ -295,33 +296,38 @@ def _threshold(rows: list) -> float:
     return float(cuts[best[int(np.argmax(room))]])
 
 
-_models: dict[int, Model] = {}
-
-
 def score_texts(df: DataFrame, model: Model | None, columns: list[str]) -> DataFrame:
     """``columns`` of ``df`` (taken along as they are) and the score of its text. Null texts count as empty.
 
     Without a model (no labels to learn from) every text scores 0.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    taken = df.select(*columns, F.col("text").alias("_scored_text"))
+    return _scored(taken, model, df.select(*columns).schema, lambda batch: batch.column(batch.num_columns - 1))
+
+
+def score_rows(df: DataFrame, model: Model | None) -> DataFrame:
+    """(row, score): all columns of ``df`` as one, which hold the text that is scored."""
+    place = [name.lower() for name in df.columns].index("text")
+    rows = df.select(F.struct("*").alias("row"))
+    return _scored(rows, model, rows.schema, lambda batch: pc.struct_field(batch.column(0), place))
+
+
+def _scored(taken: DataFrame, model: Model | None, columns: T.StructType, text_of) -> DataFrame:
+    shared = taken.sparkSession.sparkContext.broadcast(model)
     number = shared._jbroadcast.id()
 
     def run(batches):
         for batch in batches:
-            if number not in _models:
-                _models.clear()
-                _models[number] = shared.value
-            own = _models[number]
-            column = batch.column(batch.num_columns - 1)
+            own = kept(("toxicity", number), lambda: shared.value)
+            column = text_of(batch)
             scores: list[float] = []
             for lo in range(0, batch.num_rows, 512):
                 texts = [t or "" for t in column.slice(lo, 512).to_pylist()]
                 scores += own.score_batch(texts) if own else [0.0] * len(texts)
-            arrays = [batch.column(k) for k in range(batch.num_columns - 1)]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(scores, pa.float64())], names=[*columns, "score"])
+            arrays = [batch.column(k) for k in range(len(columns))]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(scores, pa.float64())], names=[*columns.names, "score"])
 
-    taken = df.select(*columns, F.col("text").alias("_scored_text"))
-    schema = T.StructType([*df.select(*columns).schema.fields, T.StructField("score", T.DoubleType())])
+    schema = T.StructType([*columns.fields, T.StructField("score", T.DoubleType())])
     return taken.mapInArrow(run, schema)
 
 

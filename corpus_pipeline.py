@@ -29,7 +29,7 @@ def _rows(docs: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return toxicity.score_texts(_rows(docs), model, ["row"]).where("score < 0.5").select("row.*")
+    return toxicity.score_rows(docs, model).where("score < 0.5").select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +53,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.drop_hits(_rows(docs), table(spark, sf_dir, "benchmark")).select("row.*")
+    return decontaminate.drop_hits(docs, table(spark, sf_dir, "benchmark"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -12,6 +13,7 @@ import pytest
 
 import corpus_pipeline
 from clickmetrics.llm import (
+    common,
     decontaminate,
     exact_topk,
     ngram_join,
@@ -23,7 +25,7 @@ from clickmetrics.llm import (
     token_files,
     toxicity,
 )
-from clickmetrics.llm.common import tokenizer_path
+from clickmetrics.llm.common import slabs, text_bytes, tokenizer_path
 
 WORDS = "the of and thing IDIOT über naïve x1 don't 執行 🙂 a,b stop. <|endoftext|>".split()
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -581,3 +583,35 @@ def test_a_bucket_sorted_in_shares_gives_the_same_bits(monkeypatch):
         (out,) = suffix_dedup._sorted((pa.scalar(0),), iter([batch]))
         found.append(suffix_dedup.unsqueezed(out.column("windows")[0].as_py()))
     assert len(rows) > 100 and any(found[0]) and found[0] == found[1]
+
+
+def test_benchmark_search_holds_some_rows_at_a_time():
+    passage = " ".join(f"p{k}" for k in range(14))
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(500)) for _ in range(1500)]
+    texts += [None, "", f"{texts[0]} {passage} {texts[1]}", passage, " ".join(texts[:400]), None, passage[:20]]
+    index = decontaminate.BenchmarkIndex([(1, passage)], 10, 5)
+    column = pa.array(["left out", *texts])[1:]
+    whole = index.hits(*text_bytes(column))
+    counts = np.concatenate([np.diff(first) for *_, first in index.search(column)])
+    assert counts.tolist() == np.diff(whole[3]).tolist()
+    found = [(lo + row, its) for lo, items, _, _ in index.search(column) for row, its in items]
+    assert found == whole[1] == [(1502, {1}), (1503, {1})]
+    assert list(slabs(pa.array([], pa.string()), 9)) == []
+    tracemalloc.start()
+    for _ in index.search(column):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # The words of all rows take 50 MB and more.
+    assert peak < 40 << 20
+
+
+def test_workers_drop_what_other_stages_left():
+    first = common.kept(("a", 1), list)
+    assert common.kept(("a", 1), list) is first
+    other = common.kept(("b", 1), dict)
+    assert common.kept(("b", 1), dict) is other
+    assert common.kept(("a", 1), list) is not first
+    common.forget()
+    assert common.kept(("b", 1), dict) is not other
