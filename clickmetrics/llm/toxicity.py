@@ -40,7 +40,7 @@ STEEP = 4.0
 # Newton steps at most, the weight of the solution's length, and of all examples of a label.
 STEPS = 20
 RIDGE = 1e-2
-WEIGHT = 100
+WEIGHT = 1000
 COST = 10
 LOWEST = -4.0
 # Words whose letter pairs are in memory at once.
@@ -199,9 +199,10 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Mode
 
 
 def _landmarks(counted: DataFrame, sizes: dict[int, int]) -> list[str]:
-    """Windows that toxic texts hold more often, clean ones that resemble them, and any others."""
+    """Windows that tell of toxic texts, clean ones that resemble them, and any others."""
     share = F.col("t") / sizes[1] - F.col("c") / sizes[0]
-    marks = [r["window"] for r in counted.orderBy(F.desc(share), "window").limit(LANDMARKS // 2).collect()]
+    evidence = counted.where(share > 0).select("window", _evidence(sizes).alias("evidence"))
+    marks = [r["window"] for r in evidence.orderBy(F.desc("evidence"), "window").limit(LANDMARKS // 2).collect()]
     clean = counted.where((share < 0) & ~F.col("window").isin(marks))
     alike = _decided(clean, Model(marks, np.ones(len(marks)), 0.0)).orderBy(F.desc("value"), "window")
     marks += [r["window"] for r in alike.limit(LANDMARKS // 4).collect()]
@@ -209,6 +210,18 @@ def _landmarks(counted: DataFrame, sizes: dict[int, int]) -> list[str]:
     return marks + [r["window"] for r in rest.limit(LANDMARKS - len(marks)).collect()]
 
 
+def _evidence(sizes: dict[int, int]):
+    """The log-likelihood ratio that a window's share of the toxic texts is not that of all: sure above frequent."""
+    every = sizes[0] + sizes[1]
+    rate = (F.col("t") + F.col("c")) / every
+    total = F.lit(0.0)
+    for name, size in (("t", sizes[1]), ("c", sizes[0])):
+        held = F.col(name)
+        for seen, expected in ((held, rate * size), (size - held, (1 - rate) * size)):
+            total += F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
+    return total
+
+
 def _decided(counted: DataFrame, model: Model) -> DataFrame:
     def work(batch: pa.RecordBatch) -> list:
         return [batch.column(0), pa.array(model.decide(batch.column(0).to_pylist()), pa.float64())]

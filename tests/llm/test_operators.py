@@ -615,3 +615,14 @@ def test_workers_drop_what_other_stages_left():
     assert common.kept(("a", 1), list) is not first
     common.forget()
     assert common.kept(("b", 1), dict) is not other
+
+
+def test_toxicity_landmarks_hold_sure_windows_before_frequent_ones(spark):
+    """Each of many forms of an insult is rare, while common words stand in toxic texts a bit more often."""
+    sure, common = [f"zuqy{k}" for k in range(40)], [f"common{k}" for k in range(100)]
+    rows = [(w, 40, 0) for w in sure] + [(w, 600, 500) for w in common] + [("shared", 700, 700), ("kind", 0, 90)]
+    counted = spark.createDataFrame(rows, "window string, t bigint, c bigint")
+    marks = toxicity._landmarks(counted, {0: 1000, 1: 1000})
+    assert set(marks[:40]) == set(sure)
+    assert set(marks[40:64]) < set(common)
+    assert len(marks) == len(set(marks)) == toxicity.LANDMARKS
