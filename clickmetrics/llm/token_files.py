@@ -19,10 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clickmetrics.llm.common import CACHE_CHARS, CACHE_WORDS, quiet_tokenizers, tokenizer_path
+from clickmetrics.llm.common import CACHE_CHARS, CACHE_WORDS, quiet_tokenizers, slabs, tokenizer_path
 from clickmetrics.session import work_folder
 
 TOKENIZER = "word_bpe_49k.json"
@@ -30,6 +31,8 @@ END_ID = 2
 SEGMENT_IDS = 1 << 20
 SEGMENT_DOCS = 1 << 15
 SELECT_STEP = 256
+# Text that is encoded at a time.
+SLAB_BYTES = 1 << 23
 # Words of letters that are kept; others, which may be made of them, are bounded by CACHE_WORDS.
 KEPT_LETTERS = 1_000_000
 # Signs that the tokenizer takes as one run when they end a word.
@@ -135,14 +138,29 @@ class WordEncoder:
             self.letters.update((w, raw[a:b]) for w, a, b in zip(some, [0, *ends[:-1]], ends, strict=True))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Ids as little-endian 32-bit words for each text."""
-        cut = [_lowered(t).replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        """Ids as little-endian 32-bit words for each text. Words are looked up once for all texts, not once an occurrence."""
+        cut = pa.array([_lowered(t).replace("\n", " ").replace("\t", " ").replace("\r", " ") for t in texts], pa.large_string())
+        cut = pc.split_pattern(cut, " ")
+        coded = cut.flatten().dictionary_encode()
+        found = self._found(coded.dictionary.to_pylist())
+        ids = np.frombuffer(b"".join(found), "<u4")
+        size = np.array([len(b) // 4 for b in found], np.int64)
+        begin = np.cumsum(size) - size
+        word = coded.indices.to_numpy()
+        size = size[word]
+        end = np.concatenate([[0], np.cumsum(size)])
+        out = ids[np.repeat(begin[word] - end[:-1], size) + np.arange(end[-1])]
+        bounds = end[cut.offsets.to_numpy()].tolist()
+        return [out[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
+
+    def _found(self, asked: list[str]) -> list[bytes]:
+        """The ids of distinct words."""
         if len(self.words) > CACHE_WORDS:
             self.words = {"": b""}
         if len(self.letters) > KEPT_LETTERS:
             self.letters = {}
         words = self.words
-        new = [w for w in set().union(*cut) if w not in words]  # a set less a dict's keys would go over all of the dict
+        new = [w for w in asked if w not in words]
         plain, other = [], []
         for word in new:
             core = word.rstrip(SIGNS)
@@ -159,8 +177,7 @@ class WordEncoder:
         fresh = dict(zip(other, self._ids(other)))
         words.update((w, b) for w, b in fresh.items() if len(w) <= CACHE_CHARS)
         long = {w: b for w, b in fresh.items() if len(w) > CACHE_CHARS}
-        find = (lambda w: words[w] if w in words else long[w]) if long else words.__getitem__
-        return [b"".join(map(find, its)) for its in cut]
+        return [words[w] if w in words else long[w] for w in asked]
 
     @property
     def id_bound(self) -> int:
@@ -196,10 +213,10 @@ def _segments(batches: Iterator[pa.RecordBatch], name: str, end_id: int) -> Iter
         return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in FILE_SCHEMA.split(", ")])
 
     for batch in batches:
-        for lo in range(0, batch.num_rows, 256):
-            some = batch.slice(lo, 256)
-            ids, parts = some.column(0).to_pylist(), some.column(2).to_pylist()
-            for key, its_part, blob in zip(ids, parts, own.encode_batch([t or "" for t in some.column(1).to_pylist()])):
+        for lo, rows in slabs(batch.column(1), SLAB_BYTES):
+            texts = [t or "" for t in rows.cast(pa.large_string()).to_pylist()]
+            ids, parts = (batch.column(k).slice(lo, len(rows)).to_pylist() for k in (0, 2))
+            for key, its_part, blob in zip(ids, parts, own.encode_batch(texts)):
                 if keys and (its_part != part or size + len(blob) // 4 >= SEGMENT_IDS or len(keys) >= SEGMENT_DOCS):
                     yield packed()
                     count = count + 1 if its_part == part else 0

@@ -626,3 +626,16 @@ def test_toxicity_landmarks_hold_sure_windows_before_frequent_ones(spark):
     assert set(marks[:40]) == set(sure)
     assert set(marks[40:64]) < set(common)
     assert len(marks) == len(set(marks)) == toxicity.LANDMARKS
+
+
+def test_token_files_look_a_word_up_once_for_many_texts(monkeypatch):
+    encoder = token_files.WordEncoder(tokenizer_path(token_files.TOKENIZER))
+    asked = []
+    found = encoder._found
+    monkeypatch.setattr(encoder, "_found", lambda words: asked.append(list(words)) or found(words))
+    texts = [t or "" for _, t in ROWS]
+    plain = [np.array(e.ids, "<u4").tobytes() for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.encode_batch(texts) == plain
+    assert encoder.encode_batch(texts * 50) == plain * 50
+    assert encoder.encode_batch([]) == [] and encoder.encode_batch(["", " "]) == [b"", b""]
+    assert all(len(words) == len(set(words)) for words in asked)
