@@ -9,7 +9,8 @@ A sentence counts as toxic as its most toxic word, a text as its most toxic sent
 Examples are windows of the labelled texts (words, long ones in stretches) with the label of their
 text; a text's windows share its weight. All windows of the sample take part, in tasks; the driver
 gets sums. The sample is bounded by the parameter ``SAMPLE`` for each label. Scoring is one pass over
-all rows, with no shuffle as rows are independent. Words met before are kept, up to a bound.
+all rows, with no shuffle as rows are independent. Words met before and their normal forms are kept, up
+to a bound, so that forms of one word ("Word", "word,") are worked out once.
 """
 
 from __future__ import annotations
@@ -43,11 +44,13 @@ RIDGE = 1e-2
 WEIGHT = 1000
 COST = 10
 LOWEST = -4.0
-# Words whose letter pairs are in memory at once.
-PIECE = 1024
+# Words whose letter pairs are in memory at once: few enough for the processor's cache. No result depends on it.
+PIECE = 256
 
 # Letters drawn apart by blanks: three or more single characters in a row.
 APART = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
+# Found in each text that has such letters, and quickly ruled out in most others.
+NEAR = re.compile(r" \S \S(?!\S)")
 EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 LIKE = str.maketrans("0134578@$!", "oieastbasi")
 
@@ -56,35 +59,65 @@ def normal(word: str) -> str:
     return word.strip(EDGE).lower().translate(LIKE)
 
 
+def normals(words: list[str]) -> list[str]:
+    """``normal`` of each of many words, which hold no line feed."""
+    text = "\n".join([word.strip(EDGE) for word in words]).lower()
+    for sign, letter in LIKE.items():  # no letter is itself a sign, so one after the other is as at once
+        text = text.replace(chr(sign), chr(letter))
+    return text.split("\n") if words else []
+
+
 def _codes(word: str) -> list[int]:
     """Letters as numbers below LETTERS, between marks for begin and end; signs are gaps without a number."""
     inner = [ord(c) - 97 if "a" <= c <= "z" else 26 + ord(c) % 12 if c.isalpha() else SIGN for c in word]
     return [LETTERS - 2, *inner, LETTERS - 1]
 
 
+# The number of each character met so far.
+_numbers = np.full(0x110000, -1, np.int8)
+
+
+def _numbered(text: str) -> np.ndarray:
+    """``_codes`` of all letters of a text, without marks."""
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    numbers = _numbers[points]
+    if (numbers < 0).any():
+        for point in set(points[numbers < 0].tolist()):
+            _numbers[point] = _codes(chr(point))[1]
+        numbers = _numbers[points]
+    return numbers
+
+
 def pair_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Weights of gapped letter pairs, a unit-length row for each stretch of SPAN letters, and its word."""
-    pieces, owner = [], []
-    for k, word in enumerate(words):
-        code = _codes(word)
-        for at in range(0, max(1, len(code) - SPAN // 2), SPAN // 2):
-            pieces.append(code[at : at + SPAN])
-            owner.append(k)
-    width = max(2, max(map(len, pieces), default=2))
-    grid = np.full((len(pieces), width), -1, np.int64)
-    for k, code in enumerate(pieces):
-        grid[k, : len(code)] = code
-    base = (np.arange(len(pieces)) * LETTERS * LETTERS)[:, None]
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    ends = np.cumsum(sizes)
+    inner = np.ones(int(sizes.sum()), bool)
+    inner[ends - sizes] = inner[ends - 1] = False
+    letters = np.empty(len(inner), np.int64)
+    letters[inner] = _numbered("".join(words))
+    letters[ends - sizes], letters[ends - 1] = LETTERS - 2, LETTERS - 1
+    # Stretches of a word overlap by half. Most words are one.
+    half = SPAN // 2
+    stretches = np.maximum(1, (sizes - 1) // half)
+    owner = np.repeat(np.arange(len(words)), stretches)
+    if len(owner) > len(words):
+        number = np.arange(len(owner)) - np.repeat(np.cumsum(stretches) - stretches, stretches)
+        starts = (ends - sizes)[owner] + half * number
+        sizes = np.minimum(SPAN, ends[owner] - starts)
+        letters = letters[np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())]
+    row = np.repeat(np.arange(len(owner)), sizes)
+    row[letters == SIGN] = -1
+    left = (row * LETTERS + letters) * LETTERS
     index, weight = [], []
-    for gap in range(1, min(GAP, width - 1) + 1):
-        left, right = grid[:, :-gap], grid[:, gap:]
-        place = (base + left * LETTERS + right)[(right >= 0) & (left != SIGN) & (right != SIGN)]
-        index.append(place)
-        weight.append(np.full(len(place), DECAY ** (gap + 1)))
-    flat = np.bincount(np.concatenate(index), np.concatenate(weight), len(pieces) * LETTERS * LETTERS)
-    features = flat.reshape(len(pieces), -1).astype(np.float32)
+    for gap in range(1, GAP + 1):
+        pair = (left[:-gap] + letters[gap:])[(row[:-gap] == row[gap:]) & (row[gap:] >= 0)]
+        index.append(pair)
+        weight.append(np.full(len(pair), DECAY ** (gap + 1)))
+    flat = np.bincount(np.concatenate(index), np.concatenate(weight), len(owner) * LETTERS * LETTERS)
+    features = flat.astype(np.float32).reshape(len(owner), LETTERS * LETTERS)
     features /= np.maximum(np.linalg.norm(features, axis=1, keepdims=True), 1e-9)
-    return features, np.array(owner)
+    return features, owner
 
 
 class Model:
@@ -93,7 +126,9 @@ class Model:
     def __init__(self, landmarks: list[str], weights: np.ndarray, bias: float) -> None:
         self.landmarks, self.features = landmarks, pair_features(landmarks)[0]
         self.weights, self.bias = weights.astype(np.float32), float(bias)
+        # Decision values of words and of their normal forms: of late, and of the time before.
         self.known: dict[str, float] = {}
+        self.before: dict[str, float] = {}
 
     def kernel(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         features, owner = pair_features(words)
@@ -111,21 +146,28 @@ class Model:
         """Between 0 and 1 for each text; texts without words score as clean."""
         cut = [text.split() for text in texts]
         for text, words in zip(texts, cut):
-            words += [m[0].replace(" ", "") for m in APART.finditer(text)]
-        if len(self.known) > CACHE_WORDS:
-            self.known = {}
-        known = self.known
-        new = [w for w in set().union(*cut) if w not in known]  # a set less a dict's keys would go over all of the dict
-        by_form: dict[str, list[str]] = {}
-        for word in new:
-            by_form.setdefault(normal(word), []).append(word)
-        forms = list(by_form)
-        long: dict[str, float] = {}
-        for form, value in zip(forms, self.decide(forms).tolist() if forms else []):
-            for word in by_form[form]:
-                (known if len(word) <= CACHE_CHARS else long)[word] = value
-        find = (lambda w: known[w] if w in known else long[w]) if long else known.__getitem__
-        highest = np.array([max(map(find, words), default=LOWEST) for words in cut])
+            if NEAR.search(text):
+                words += [m[0].replace(" ", "") for m in APART.finditer(text)]
+        if len(self.known) > CACHE_WORDS // 2:  # words in use are taken over, the others go with the next change
+            self.known, self.before = {}, self.known
+        known, before = self.known, self.before
+        every = set().union(*cut)
+        here = dict(zip(every, map(known.get, every)))  # small beside the caches, so faster to look all words up in
+        new = []
+        for word in [w for w, value in here.items() if value is None]:
+            if word in before:
+                here[word] = known[word] = before[word]
+            else:
+                new.append(word)
+        forms = normals(new)
+        values = {form: known[form] if form in known else before.get(form) for form in forms}
+        unknown = [form for form, value in values.items() if value is None]
+        if unknown:
+            values.update(zip(unknown, self.decide(unknown).tolist()))
+        here.update(zip(new, map(values.__getitem__, forms)))
+        known.update((f, value) for f, value in values.items() if len(f) <= CACHE_CHARS)
+        known.update((w, here[w]) for w in new if len(w) <= CACHE_CHARS)
+        highest = np.array([max(map(here.__getitem__, words), default=LOWEST) for words in cut])
         return (1 / (1 + np.exp(-STEEP * highest))).tolist()
 
 

@@ -607,6 +607,65 @@ def test_benchmark_search_holds_some_rows_at_a_time():
     assert peak < 40 << 20
 
 
+def _recorded(monkeypatch, landmarks=("idiot", "kind", "word")):
+    model = toxicity.Model(list(landmarks), np.array([1.0, -1.0, 0.5]), -0.25)
+    asked, decide = [], model.decide
+    monkeypatch.setattr(model, "decide", lambda words: asked.extend(words) or decide(words))
+    return model, asked
+
+
+def _plain_scores(texts):
+    """Each word on its own, nothing kept."""
+    out = []
+    for text in texts:
+        words = text.split() + [m[0].replace(" ", "") for m in toxicity.APART.finditer(text)]
+        model = toxicity.Model(["idiot", "kind", "word"], np.array([1.0, -1.0, 0.5]), -0.25)
+        value = max((model.decide([toxicity.normal(w)])[0] for w in words), default=toxicity.LOWEST)
+        out.append(1 / (1 + np.exp(-toxicity.STEEP * value)))
+    return out
+
+
+def test_toxicity_works_out_a_form_once(monkeypatch):
+    """Words that differ in case and signs share a form, also if they come in different batches."""
+    model, asked = _recorded(monkeypatch)
+    batches = [["Word, kind", "an idiot", ""], ["word! KIND.", "Idiot, 1diot", "i d i o t", "... !"], ["(word) 'kind'", "x" * 90, "X" * 90]]
+    for texts in batches:
+        assert np.allclose(model.score_batch(texts), _plain_scores(texts), rtol=1e-5)
+    short = [w for w in asked if len(w) <= common.CACHE_CHARS]
+    assert len(short) == len(set(short)) and {"word", "kind", "idiot", ""} < set(short)
+    assert all(len(w) <= common.CACHE_CHARS for w in [*model.known, *model.before])
+
+
+def test_toxicity_keeps_words_in_use_when_its_cache_is_full(monkeypatch):
+    monkeypatch.setattr(toxicity, "CACHE_WORDS", 40)
+    model, asked = _recorded(monkeypatch)
+    for k in range(30):
+        texts = ["word idiot" + "".join(f" {'abcdef'[k // 6]}{'abcdef'[k % 6]}{c}" for c in "ghijklmno")]
+        assert np.allclose(model.score_batch(texts), _plain_scores(texts), rtol=1e-5)
+        assert len(model.known) + len(model.before) <= 40 + 2 * 11
+    assert asked.count("word") == asked.count("idiot") == 1
+
+
+def test_toxicity_forms_and_stretches_equal_plain_ones():
+    words = ["", "...", "Idiot!", "1D10T", "ΑΣ", "ΑΣ'Σ", "'ΣΑΣ1", "İx", "ẞtraße", "執行", "a" * 14, "b-" * 15 + "c", "d" * 30, "e" * 31, "Über" * 40]
+    assert toxicity.normals(words) == [toxicity.normal(w) for w in words]
+    assert toxicity.normals([]) == []
+    features, owner = toxicity.pair_features(words)
+    row = 0
+    for k, word in enumerate(words):
+        code = toxicity._codes(word)
+        for at in range(0, max(1, len(code) - toxicity.SPAN // 2), toxicity.SPAN // 2):
+            part, plain = code[at : at + toxicity.SPAN], np.zeros((toxicity.LETTERS, toxicity.LETTERS))
+            for i, a in enumerate(part):
+                for j in range(i + 1, min(len(part), i + toxicity.GAP + 1)):
+                    if toxicity.SIGN not in (a, part[j]):
+                        plain[a, part[j]] += toxicity.DECAY ** (j - i + 1)
+            plain /= max(np.linalg.norm(plain), 1e-9)
+            assert owner[row] == k and np.allclose(features[row], plain.ravel(), atol=1e-6)
+            row += 1
+    assert row == len(features)
+
+
 def test_workers_drop_what_other_stages_left():
     first = common.kept(("a", 1), list)
     assert common.kept(("a", 1), list) is first
